@@ -72,6 +72,11 @@ def _delivery() -> list[Column]:
     ]
 
 
+def number_aggregates(cutoff: Column, windows: Sequence[int] = WINDOWS) -> list[Column]:
+    """Every feature that is a plain aggregate of fixed width: all but the order gap and the state frequency."""
+    return [*_rfm(cutoff, PURCHASED, VALUE), *_behavioral(), *_velocity(cutoff, windows, PURCHASED, VALUE), *_delivery()]
+
+
 def order_gaps(past: DataFrame, by: Sequence[str] = (CUSTOMER,), date_col: str = PURCHASED) -> DataFrame:
     """Mean whole days between consecutive orders; NULL for a single order.
 
@@ -94,26 +99,21 @@ def latest_state(past: DataFrame, by: Sequence[str] = (CUSTOMER,), date_col: str
     return past.groupBy(*by).agg(last_known("customer_state", date_col, "order_id").alias("customer_state"))
 
 
-def state_counts(states: DataFrame, within: Sequence[str] = ()) -> DataFrame:
-    """Number of customers per known state, optionally within each value of other columns."""
+def state_counts(states: DataFrame) -> DataFrame:
+    """Number of customers per known state."""
     known = states.filter(F.col("customer_state").isNotNull())
-    return known.groupBy(*within, "customer_state").agg(F.count(F.lit(1)).alias("customer_state_freq"))
+    return known.groupBy("customer_state").agg(F.count(F.lit(1)).alias("customer_state_freq"))
 
 
-def state_frequency(
-    past: DataFrame,
-    counts: DataFrame | None = None,
-    by: Sequence[str] = (CUSTOMER,),
-    within: Sequence[str] = (),
-) -> DataFrame:
+def state_frequency(past: DataFrame, counts: DataFrame | None = None, by: Sequence[str] = (CUSTOMER,)) -> DataFrame:
     """Each customer with the number of customers of the same state.
 
     ``counts`` are stored frequencies to look up; without them they are counted here. Spark decides at run time
     whether the counts are small enough to be broadcast, and splits a crowded state if they are not.
     """
     states = latest_state(past, by)
-    counted = state_counts(states, within) if counts is None else counts
-    return states.join(counted, [*within, "customer_state"], "left").select(*by, "customer_state_freq")
+    counted = state_counts(states) if counts is None else counts
+    return states.join(counted, "customer_state", "left").select(*by, "customer_state_freq")
 
 
 def rfm_features(
@@ -157,7 +157,6 @@ def feature_matrix(
     by: Sequence[str] = (CUSTOMER,),
     windows: Sequence[int] = WINDOWS,
     counts: DataFrame | None = None,
-    count_within: Sequence[str] = (),
 ) -> DataFrame:
     """All features, one row per customer with an order before the cutoff.
 
@@ -166,10 +165,6 @@ def feature_matrix(
     columns; all three results are partitioned by ``by`` already when they are joined.
     """
     past = history(orders, cutoff, by)
-    moment = as_timestamp(cutoff)
-    numbers = past.groupBy(*by).agg(
-        *_rfm(moment, PURCHASED, VALUE), *_behavioral(), *_velocity(moment, windows, PURCHASED, VALUE), *_delivery()
-    )
+    numbers = past.groupBy(*by).agg(*number_aggregates(as_timestamp(cutoff), windows))
     keys = list(by)
-    states = state_frequency(past, counts, by, count_within)
-    return numbers.join(order_gaps(past, by), keys).join(states, keys)
+    return numbers.join(order_gaps(past, by), keys).join(state_frequency(past, counts, by), keys)

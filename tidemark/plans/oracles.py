@@ -365,6 +365,7 @@ def oracle_queries() -> dict[str, str]:
     }
     on_requests = {
         "validate_requests": "SELECT * FROM checked",
+        "rejected_requests": "SELECT * FROM checked WHERE violations <> ''",
         "requests_to_orders": _rounded("request_orders", ("payment_value", "total_price", "total_freight", "review_score")),
     }
     keys = "request_id, customer_unique_id, cutoff_date"

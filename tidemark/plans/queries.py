@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import base_table as base
 from tidemark.operators import features, metrics, ordering, profile, requests, targets
 from tidemark.settings import FEATURES
-from tidemark.sources.commerce import commerce_tables
+from tidemark.sources.commerce import commerce_tables, star_table
 
 CUTOFF = "2001-01-01"
 HORIZON_DAYS = 90
@@ -225,12 +225,9 @@ def request_rows(spark: SparkSession, folder: str) -> DataFrame:
         (placed - days(25)).alias("order_delivered_customer_date"),
         (placed - days(30)).alias("order_estimated_delivery_date"),
     )
-    orders = (
-        F.when(key % 71 == 0, F.filter(F.array(newest), lambda order: F.lit(False)))
-        .when(key % 2 == 0, F.array(newest, earlier))
-        .otherwise(F.array(newest))
-    )
-    return spark.read.parquet(f"{folder}/orders.parquet").select(
+    held = F.when(key % 71 == 0, 0).when(key % 2 == 0, 2).otherwise(1)
+    orders = F.slice(F.array(newest, earlier), F.lit(1), held)
+    return star_table(spark, folder, "orders").select(
         key.cast("string").alias("request_id"),
         F.col("o_custkey").cast("string").alias("customer_unique_id"),
         F.when(key % 43 == 0, placed - days(100)).otherwise(placed + days(30)).alias("cutoff_date"),
@@ -243,17 +240,21 @@ def validate_requests(spark: SparkSession, folder: str) -> DataFrame:
     return checked.select(*requests.REQUEST_KEYS, F.array_join("violations", ",").alias("violations"))
 
 
-def valid_request_orders(spark: SparkSession, folder: str) -> DataFrame:
-    valid, _ = requests.split_requests(requests.validate_requests(request_rows(spark, folder)))
-    return requests.requests_to_orders(valid)
+def valid_request_rows(spark: SparkSession, folder: str) -> DataFrame:
+    return requests.valid_requests(request_rows(spark, folder))
+
+
+def rejected_requests(spark: SparkSession, folder: str) -> DataFrame:
+    rejected = requests.rejected_requests(request_rows(spark, folder))
+    return rejected.withColumn("violations", F.array_join("violations", ","))
 
 
 def requests_to_orders(spark: SparkSession, folder: str) -> DataFrame:
-    return tidy(valid_request_orders(spark, folder))
+    return tidy(requests.requests_to_orders(valid_request_rows(spark, folder)))
 
 
 def request_features(spark: SparkSession, folder: str) -> DataFrame:
-    return tidy(requests.request_features(valid_request_orders(spark, folder)))
+    return tidy(requests.request_features(valid_request_rows(spark, folder)))
 
 
 SQL_CHECKED: dict[str, Query] = {
@@ -288,6 +289,7 @@ SQL_CHECKED: dict[str, Query] = {
         confusion,
         tier_report,
         validate_requests,
+        rejected_requests,
         requests_to_orders,
         request_features,
     )

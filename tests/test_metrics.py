@@ -1,0 +1,98 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.operators import metrics
+from tidemark.operators.profile import class_balance, column_profile, columns_to_drop
+
+
+def by_hand(pairs, beta=2.0):
+    """Measures straight from their definitions, threshold by threshold."""
+    positives = sum(y for y, _ in pairs)
+    negatives = len(pairs) - positives
+    area, precision_sum, best, previous = 0.0, 0.0, (-1.0, 0.0), 0.0
+    for threshold in sorted({s for _, s in pairs}, reverse=True):
+        hits = sum(y for y, s in pairs if s >= threshold)
+        called = sum(1 for _, s in pairs if s >= threshold)
+        precision, recall = hits / called, hits / positives
+        precision_sum += (recall - previous) * precision
+        previous = recall
+        f = (1 + beta**2) * precision * recall / (beta**2 * precision + recall + 1e-9)
+        best = max(best, (f, -threshold))
+    wins = sum((a > b) + (a == b) / 2 for y, a in pairs if y for z, b in pairs if not z)
+    area = wins / (positives * negatives)
+    return precision_sum, area, -best[1], best[0]
+
+
+@pytest.fixture(params=[0, 1, 2])
+def pairs(request):
+    rng = random.Random(request.param)
+    return [(int(rng.random() < 0.3), round(rng.random(), 1 + request.param)) for _ in range(200)]
+
+
+def frame(spark, pairs):
+    return spark.createDataFrame(pairs, "label int, score double").repartition(5)
+
+
+def test_curve_measures_equal_their_definitions(spark, pairs):
+    scored = frame(spark, pairs)
+    precision_sum, area, threshold, f = by_hand(pairs)
+    assert metrics.average_precision(scored).first()[0] == pytest.approx(precision_sum)
+    assert metrics.roc_auc(scored).first()[0] == pytest.approx(area)
+    found = metrics.f_beta_threshold(scored).first()
+    assert (found["threshold"], found["f_beta"]) == (pytest.approx(threshold), pytest.approx(f))
+
+
+def test_average_precision_is_not_the_trapezoid(spark):
+    pairs = [(1, 0.9), (0, 0.8), (1, 0.7), (0, 0.6), (1, 0.5), (0, 0.4)]
+    expected = 1 / 3 * (1 + 2 / 3 + 3 / 5)
+    assert metrics.average_precision(frame(spark, pairs)).first()[0] == pytest.approx(expected)
+
+
+def test_equal_scores_take_the_lowest_threshold(spark):
+    # 0.9 and 0.1 have the same F-beta only if nothing is gained in between
+    pairs = [(1, 0.9), (1, 0.5)]
+    assert metrics.f_beta_threshold(frame(spark, pairs)).first()["threshold"] == 0.5
+
+
+@pytest.mark.parametrize("threshold", [None, 0.5, 2.0])
+def test_binary_report(spark, pairs, threshold):
+    found = metrics.binary_report(frame(spark, pairs), threshold).first()
+    used = by_hand(pairs)[2] if threshold is None else threshold
+    hits = sum(y for y, s in pairs if s >= used)
+    called = sum(1 for _, s in pairs if s >= used)
+    assert found["precision"] == pytest.approx(hits / max(called, 1), abs=1e-4)
+    assert found["recall"] == pytest.approx(hits / sum(y for y, _ in pairs), abs=1e-4)
+    assert found["threshold"] == pytest.approx(used, abs=1e-4)
+    assert found["pr_auc"] == pytest.approx(by_hand(pairs)[0], abs=1e-4)
+
+
+def test_tier_report_covers_tiers_that_do_not_occur(spark):
+    df = spark.createDataFrame([(0, 0), (0, 1), (1, 1), (1, 1), (1, 0)], "label int, prediction int")
+    found = metrics.tier_report(df).first()
+    f_low, f_mid = 2 * 1 / (2 + 2), 2 * 2 / (3 + 3)
+    assert (found["f1_low"], found["f1_mid"], found["f1_high"]) == (round(f_low, 4), round(f_mid, 4), 0.0)
+    assert found["weighted_f1"] == round((2 * f_low + 3 * f_mid) / 5, 4)
+
+
+def test_profile_and_drop_order(spark):
+    df = spark.range(200).select(
+        F.lit(3.0).alias("same"),
+        F.when(F.col("id") == 0, 1.0).alias("rare"),
+        F.col("id").cast("double").alias("good"),
+        F.when(F.col("id") < 2, F.col("id").cast("double")).alias("on_bound"),
+        F.lit(None).cast("double").alias("nothing"),
+        F.when(F.col("id") % 2 == 0, 5.0).alias("one_value"),
+    )
+    profile = {r["column"]: (r["null_rate"], r["is_constant"]) for r in column_profile(df, df.columns).collect()}
+    assert profile["good"] == (0.0, False)
+    assert profile["nothing"] == (1.0, True)
+    assert profile["one_value"] == (0.5, True)
+    assert columns_to_drop(df, df.columns) == ["rare", "nothing", "same", "one_value"]
+
+
+def test_class_balance(spark):
+    df = spark.createDataFrame([(0,), (0,), (0,), (1,)], "will_return int")
+    assert tuple(class_balance(df).first()) == (3, 1, 3.0)
+    assert class_balance(df.filter("will_return = 0")).first()["positive_weight"] == 3.0

@@ -7,9 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.durable import durable
 from tidemark.operators import base_table as base
-from tidemark.operators import features, metrics, ordering, profile, requests, targets
-from tidemark.settings import FEATURES
+from tidemark.operators import attribution, features, metrics, modeling, ordering, profile, requests, targets
+from tidemark.plans import scoring, training
+from tidemark.plans.artifact import Artifact
+from tidemark.settings import FEATURES, SearchSpace, Settings
 from tidemark.sources.commerce import commerce_tables, star_table
 
 CUTOFF = "2001-01-01"
@@ -79,39 +82,39 @@ def feature_matrix(spark: SparkSession, folder: str) -> DataFrame:
     return tidy(features.feature_matrix(base_rows(spark, folder), CUTOFF))
 
 
-def target_rows(spark: SparkSession, folder: str) -> DataFrame:
-    return targets.customer_targets(base_rows(spark, folder), CUTOFF, HORIZON_DAYS)
+def target_rows(known: DataFrame) -> DataFrame:
+    return targets.customer_targets(known, CUTOFF, HORIZON_DAYS)
 
 
-def tiered_rows(spark: SparkSession, folder: str) -> DataFrame:
-    found = target_rows(spark, folder)
+def tiered_rows(known: DataFrame) -> DataFrame:
+    found = target_rows(known)
     return targets.with_spend_tier(found, targets.tier_edges(found))
 
 
 def customer_targets(spark: SparkSession, folder: str) -> DataFrame:
-    return tidy(target_rows(spark, folder))
+    return tidy(target_rows(base_rows(spark, folder)))
 
 
 def spend_tiers(spark: SparkSession, folder: str) -> DataFrame:
-    return tidy(tiered_rows(spark, folder))
+    return tidy(tiered_rows(base_rows(spark, folder)))
 
 
 def tier_counts(spark: SparkSession, folder: str) -> DataFrame:
-    return targets.tier_counts(tiered_rows(spark, folder))
+    return targets.tier_counts(tiered_rows(base_rows(spark, folder)))
 
 
-def split_rows(spark: SparkSession, folder: str) -> DataFrame:
-    return ordering.chronological_split(target_rows(spark, folder), base_rows(spark, folder))
+def split_rows(known: DataFrame) -> DataFrame:
+    return ordering.chronological_split(target_rows(known), known)
 
 
 def chronological_split(spark: SparkSession, folder: str) -> DataFrame:
-    return tidy(split_rows(spark, folder))
+    return tidy(split_rows(base_rows(spark, folder)))
 
 
 def train_test_features(spark: SparkSession, folder: str) -> DataFrame:
     """Split customers joined with their features, as the models see them."""
-    matrix = features.feature_matrix(base_rows(spark, folder), CUTOFF)
-    return tidy(split_rows(spark, folder).join(matrix, CUSTOMER, "left"))
+    known = base_rows(spark, folder)
+    return tidy(split_rows(known).join(features.feature_matrix(known, CUTOFF), CUSTOMER, "left"))
 
 
 def time_series_folds(spark: SparkSession, folder: str) -> DataFrame:
@@ -119,16 +122,16 @@ def time_series_folds(spark: SparkSession, folder: str) -> DataFrame:
     return ordering.time_series_folds(dated, ["first_order_date", CUSTOMER])
 
 
-def _returners(spark: SparkSession, folder: str) -> DataFrame:
-    return tiered_rows(spark, folder).filter("will_return = 1")
+def _returners(known: DataFrame) -> DataFrame:
+    return tiered_rows(known).filter("will_return = 1")
 
 
 def stratified_folds(spark: SparkSession, folder: str) -> DataFrame:
-    return tidy(ordering.stratified_folds(_returners(spark, folder), "spend_tier", CUSTOMER, folds=3))
+    return tidy(ordering.stratified_folds(_returners(base_rows(spark, folder)), "spend_tier", CUSTOMER, folds=3))
 
 
 def stratified_fold_sizes(spark: SparkSession, folder: str) -> DataFrame:
-    dealt = ordering.stratified_folds(_returners(spark, folder), "spend_tier", CUSTOMER, folds=3)
+    dealt = ordering.stratified_folds(_returners(base_rows(spark, folder)), "spend_tier", CUSTOMER, folds=3)
     return dealt.groupBy("spend_tier", "fold").agg(F.count(F.lit(1)).alias("customers"))
 
 
@@ -138,14 +141,14 @@ def column_profile(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def class_balance(spark: SparkSession, folder: str) -> DataFrame:
-    return tidy(profile.class_balance(target_rows(spark, folder)))
+    return tidy(profile.class_balance(target_rows(base_rows(spark, folder))))
 
 
 def scored_rows(spark: SparkSession, folder: str) -> DataFrame:
     """Customers with their label and a score computed from two features instead of a model."""
     known = base_rows(spark, folder)
     rfm = features.rfm_features(known, CUTOFF).select(CUSTOMER, "recency", "frequency")
-    labelled = targets.customer_targets(known, CUTOFF, HORIZON_DAYS).join(rfm, CUSTOMER)
+    labelled = target_rows(known).join(rfm, CUSTOMER)
     return labelled.select(
         CUSTOMER, F.col("will_return").alias("label"), (F.col("frequency") / (F.col("recency") + 30)).alias("score")
     )
@@ -178,9 +181,10 @@ def binary_report(spark: SparkSession, folder: str) -> DataFrame:
 
 def predicted_tiers(spark: SparkSession, folder: str) -> DataFrame:
     """Returners with their tier and a tier guessed from a feature instead of a model."""
-    rfm = features.rfm_features(base_rows(spark, folder), CUTOFF).select(CUSTOMER, "frequency")
+    known = base_rows(spark, folder)
+    rfm = features.rfm_features(known, CUTOFF).select(CUSTOMER, "frequency")
     guessed = (F.col("frequency") % 3).cast("int").alias("prediction")
-    return _returners(spark, folder).join(rfm, CUSTOMER).select(CUSTOMER, F.col("spend_tier").alias("label"), guessed)
+    return _returners(known).join(rfm, CUSTOMER).select(CUSTOMER, F.col("spend_tier").alias("label"), guessed)
 
 
 def confusion(spark: SparkSession, folder: str) -> DataFrame:
@@ -295,4 +299,64 @@ SQL_CHECKED: dict[str, Query] = {
     )
 }
 
-ROWS_ONLY: dict[str, Query] = {stratified_folds.__name__: stratified_folds}
+
+# The queries below fit models, which no SQL engine can repeat. The search is kept short; all rows are used.
+SHORT_SEARCH = Settings(
+    trials=2,
+    stage1_folds=2,
+    stage2_folds=2,
+    scout_trees=5,
+    space=SearchSpace(trees=(2, 4), depth=(3, 4)),
+)
+
+
+def model_rows(known: DataFrame) -> DataFrame:
+    return training.training_table(known, CUTOFF, SHORT_SEARCH)
+
+
+def quick_artifact(known: DataFrame) -> Artifact:
+    """Both stages on all features, without selection or search."""
+    rows = model_rows(known)
+    train, test = rows.filter("split = 'train'"), rows.filter("split = 'test'")
+    params = modeling.TreeParams(trees=3, depth=4)
+    stage1 = modeling.train_model(train, FEATURES, "will_return", params)
+    stage2 = modeling.train_model(train.filter("will_return = 1"), FEATURES, "spend_tier", params, "multi", "s2")
+    judged = training.scored_stage1(stage1, test, list(FEATURES))
+    threshold = metrics.binary_report(judged).first()["threshold"]
+    counts = features.state_counts(features.latest_state(features.history(known, CUTOFF)))
+    return Artifact(stage1, stage2, list(FEATURES), list(FEATURES), threshold, counts)
+
+
+def select_features(spark: SparkSession, folder: str) -> DataFrame:
+    train = model_rows(base_rows(spark, folder)).filter("split = 'train'")
+    scout = modeling.TreeParams(SHORT_SEARCH.scout_trees, SHORT_SEARCH.scout_depth, SHORT_SEARCH.scout_step_size)
+    return attribution.rank_features(train, FEATURES, "will_return", 15, scout)
+
+
+def tune_model(spark: SparkSession, folder: str) -> DataFrame:
+    train = model_rows(base_rows(spark, folder)).filter("split = 'train'")
+    return modeling.tune_model(
+        train, FEATURES, "will_return", trials=SHORT_SEARCH.trials, folds=2, space=SHORT_SEARCH.space
+    )[1]
+
+
+def train_two_stage(spark: SparkSession, folder: str) -> DataFrame:
+    known = durable(base_rows(spark, folder))
+    found = training.train_two_stage(known, CUTOFF, SHORT_SEARCH).metrics
+    return spark.createDataFrame(sorted(found.items()), "metric string, value double")
+
+
+def score_customers(spark: SparkSession, folder: str) -> DataFrame:
+    known = durable(base_rows(spark, folder))
+    return scoring.score_customers(known, CUTOFF, quick_artifact(known))
+
+
+def score_requests(spark: SparkSession, folder: str) -> DataFrame:
+    artifact = quick_artifact(durable(base_rows(spark, folder)))
+    return scoring.score_requests(request_rows(spark, folder), artifact)[0]
+
+
+ROWS_ONLY: dict[str, Query] = {
+    query.__name__: query
+    for query in (stratified_folds, select_features, tune_model, train_two_stage, score_customers, score_requests)
+}

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import metrics
-from tidemark.operators.profile import class_balance, column_profile, columns_to_drop
+from tidemark.operators.profile import class_balance, column_profile, columns_to_drop, prepare_data
 
 
 def by_hand(pairs, beta=2.0):
@@ -90,6 +90,8 @@ def test_profile_and_drop_order(spark):
     assert profile["nothing"] == (1.0, True)
     assert profile["one_value"] == (0.5, True)
     assert columns_to_drop(df, df.columns) == ["rare", "nothing", "same", "one_value"]
+    kept, dropped = prepare_data(df, df.columns)
+    assert (kept.columns, dropped) == (["good", "on_bound"], ["rare", "nothing", "same", "one_value"])
 
 
 def test_class_balance(spark):

@@ -5,6 +5,10 @@ from __future__ import annotations
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+# Rows a lookup table may have to be broadcast: narrow rows, so a few megabytes at most.
+BROADCAST_ROWS = 100_000
 
 
 def checkpoint_root(spark: SparkSession) -> str:
@@ -33,3 +37,13 @@ def durable(df: DataFrame) -> DataFrame:
     """``df`` computed once and read back from reliable storage from here on."""
     checkpoint_root(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def lookup(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``df``, computed once, for use as the small side of joins.
+
+    It is marked for broadcast only if it was counted to have at most ``rows`` rows; a larger one stays an ordinary
+    join side, which Spark shuffles and splits where a key is crowded.
+    """
+    kept = durable(df)
+    return F.broadcast(kept) if kept.limit(rows + 1).count() <= rows else kept

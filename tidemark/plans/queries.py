@@ -310,20 +310,20 @@ SHORT_SEARCH = Settings(
 )
 
 
-def model_rows(known: DataFrame) -> DataFrame:
-    return training.training_table(known, CUTOFF, SHORT_SEARCH)
+def model_rows(known: DataFrame, counts: DataFrame | None = None) -> DataFrame:
+    return training.training_table(known, CUTOFF, SHORT_SEARCH, counts)
 
 
 def quick_artifact(known: DataFrame) -> Artifact:
     """Both stages on all features, without selection or search."""
-    rows = model_rows(known)
+    counts = training.training_counts(known, CUTOFF)
+    rows = model_rows(known, counts)
     train, test = rows.filter("split = 'train'"), rows.filter("split = 'test'")
     params = modeling.TreeParams(trees=3, depth=4)
     stage1 = modeling.train_model(train, FEATURES, "will_return", params)
     stage2 = modeling.train_model(train.filter("will_return = 1"), FEATURES, "spend_tier", params, "multi", "s2")
     judged = training.scored_stage1(stage1, test, list(FEATURES))
     threshold = metrics.binary_report(judged).first()["threshold"]
-    counts = features.state_counts(features.latest_state(features.history(known, CUTOFF)))
     return Artifact(stage1, stage2, list(FEATURES), list(FEATURES), threshold, counts)
 
 

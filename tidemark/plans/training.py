@@ -8,7 +8,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.durable import durable
+from tidemark.durable import durable, lookup
 from tidemark.operators import features as feats
 from tidemark.operators import metrics, ordering, targets
 from tidemark.operators.attribution import select_features
@@ -20,7 +20,7 @@ from tidemark.operators.modeling import (
     train_model,
     tune_model,
 )
-from tidemark.operators.profile import columns_to_drop
+from tidemark.operators.profile import prepare_data
 from tidemark.plans.artifact import Artifact
 from tidemark.settings import FEATURES, Settings
 
@@ -36,13 +36,20 @@ class Trained:
     trials2: DataFrame
 
 
-def training_table(orders: DataFrame, cutoff: datetime | str, settings: Settings) -> DataFrame:
+def training_counts(orders: DataFrame, cutoff: datetime | str) -> DataFrame:
+    """Customers per state before the cutoff, computed once for the features and for the artifact."""
+    return lookup(feats.state_counts(feats.latest_state(feats.history(orders, cutoff))))
+
+
+def training_table(
+    orders: DataFrame, cutoff: datetime | str, settings: Settings, counts: DataFrame | None = None
+) -> DataFrame:
     """Targets, split, tiers and features of every customer known before the cutoff, made durable."""
     found = targets.customer_targets(orders, cutoff, settings.horizon_days)
     split = ordering.chronological_split(found, orders, settings.train_fraction).drop("position")
     fitted_on = split.filter("split = 'train'") if settings.tiers_from == "train" else split
     tiered = targets.with_spend_tier(split, targets.tier_edges(fitted_on))
-    matrix = feats.feature_matrix(orders, cutoff, windows=settings.lookback_days)
+    matrix = feats.feature_matrix(orders, cutoff, windows=settings.lookback_days, counts=counts)
     return durable(tiered.join(matrix, CUSTOMER, "left"))
 
 
@@ -69,7 +76,8 @@ def train_two_stage(
     learns from returners only.
     """
     settings = settings or Settings()
-    table = training_table(orders, cutoff, settings)
+    counts = training_counts(orders, cutoff)
+    table = training_table(orders, cutoff, settings, counts)
     train, test = table.filter("split = 'train'"), table.filter("split = 'test'")
     candidates = [c for c in FEATURES if c in table.columns] + [
         c for c in table.columns if c.startswith(("orders_last_", "spend_last_")) and c not in FEATURES
@@ -77,10 +85,10 @@ def train_two_stage(
     scout = TreeParams(settings.scout_trees, settings.scout_depth, settings.scout_step_size, seed=settings.seed)
     search = {"trials": settings.trials, "seed": settings.seed, "space": settings.space, "parallelism": settings.parallelism}
 
-    dropped = columns_to_drop(train, candidates, settings.drop_missing_above)
+    prepared1, dropped = prepare_data(train, candidates, settings.drop_missing_above)
     kept = [c for c in candidates if c not in dropped]
     used1 = select_features(
-        train, kept, "will_return", settings.stage1_top_n, scout, stage="stage1", cache_path=feature_cache
+        prepared1, kept, "will_return", settings.stage1_top_n, scout, stage="stage1", cache_path=feature_cache
     )
     params1, trials1 = tune_model(train, used1, "will_return", "binary", folds=settings.stage1_folds, **search)
     model1 = train_model(train, used1, "will_return", params1)
@@ -89,10 +97,10 @@ def train_two_stage(
     report1 = metrics.binary_report(scored, threshold, settings.beta).first().asDict()
 
     returners, returners_test = train.filter("will_return = 1"), test.filter("will_return = 1")
-    dropped2 = columns_to_drop(returners, candidates, settings.drop_missing_above)
+    prepared2, dropped2 = prepare_data(returners, candidates, settings.drop_missing_above)
     kept2 = [c for c in candidates if c not in dropped2]
     used2 = select_features(
-        returners, kept2, "spend_tier", settings.stage2_top_n, scout, 3, stage="stage2", cache_path=feature_cache
+        prepared2, kept2, "spend_tier", settings.stage2_top_n, scout, 3, stage="stage2", cache_path=feature_cache
     )
     params2, trials2 = tune_model(returners, used2, "spend_tier", "multi", folds=settings.stage2_folds, **search)
     model2 = train_model(returners, used2, "spend_tier", params2, "multi", "s2")
@@ -101,7 +109,6 @@ def train_two_stage(
     )
     report2 = metrics.tier_report(called).first().asDict()
 
-    counts = feats.state_counts(feats.latest_state(feats.history(orders, cutoff)))
     artifact = Artifact(model1, model2, used1, used2, report1["threshold"], counts)
     return Trained(
         artifact=artifact,
@@ -113,6 +120,8 @@ def train_two_stage(
             "cv_folds": settings.stage1_folds,
             "stage1_top_n": len(used1),
             "stage2_top_n": len(used2),
+            "s1_dropped": ",".join(dropped),
+            "s2_dropped": ",".join(dropped2),
             **{f"s1_{name}": value for name, value in asdict(params1).items()},
             **{f"s2_{name}": value for name, value in asdict(params2).items()},
         },

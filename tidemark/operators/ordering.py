@@ -78,16 +78,19 @@ def first_orders(
 
 def chronological_split(
     targets: DataFrame,
-    orders: DataFrame,
+    orders: DataFrame | None = None,
     train_fraction: float = 0.80,
     date_col: str = "order_purchase_timestamp",
     customer_col: str = "customer_unique_id",
 ) -> DataFrame:
     """Targets with ``split``: 'train' for the earliest customers by first order, 'test' for the rest.
 
-    Equal first dates are ordered by customer. ``position`` numbers the customers from the earliest.
+    Equal first dates are ordered by customer. ``position`` numbers the customers from the earliest. The first dates
+    are taken from ``orders``, or without them from a column ``first_order_date`` of the targets.
     """
-    dated = targets.join(first_orders(orders, date_col, customer_col), customer_col, "left")
+    dated = targets
+    if orders is not None:
+        dated = targets.join(first_orders(orders, date_col, customer_col), customer_col, "left")
     placed = global_running(dated, [F.asc_nulls_last("first_order_date"), F.asc(customer_col)])
     train_rows = F.floor(F.col("total_rows") * F.lit(train_fraction))
     split = F.when(F.col("position") < train_rows, "train").otherwise("test")

@@ -18,11 +18,13 @@ def customer_targets(
     date_col: str = "order_purchase_timestamp",
     customer_col: str = "customer_unique_id",
     value_col: str = "payment_value",
+    first_order: bool = False,
 ) -> DataFrame:
     """``future_spend`` in [cutoff, cutoff + horizon) and ``will_return`` for all customers known before the cutoff.
 
     Eligibility and spend come from one conditional aggregation instead of a semi join, an aggregate and a left
-    join. A customer whose later orders carry no payment is not a returner.
+    join. A customer whose later orders carry no payment is not a returner. With ``first_order`` the same pass also
+    gives ``first_order_date``, which ``chronological_split`` needs.
     """
     start = as_timestamp(cutoff)
     inside = F.col(date_col) >= start
@@ -32,10 +34,14 @@ def customer_targets(
         .agg(
             F.count(F.when(~inside, 1)).alias("orders_before"),
             sum_or_zero(F.when(inside, F.col(value_col))).alias("future_spend"),
+            F.min(date_col).alias("first_order_date"),
         )
     )
     return spend.filter("orders_before > 0").select(
-        customer_col, "future_spend", (F.col("future_spend") > 0).cast("int").alias("will_return")
+        customer_col,
+        "future_spend",
+        (F.col("future_spend") > 0).cast("int").alias("will_return"),
+        *(["first_order_date"] if first_order else []),
     )
 
 

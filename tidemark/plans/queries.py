@@ -114,7 +114,8 @@ def chronological_split(spark: SparkSession, folder: str) -> DataFrame:
 def train_test_features(spark: SparkSession, folder: str) -> DataFrame:
     """Split customers joined with their features, as the models see them."""
     known = base_rows(spark, folder)
-    return tidy(split_rows(known).join(features.feature_matrix(known, CUTOFF), CUSTOMER, "left"))
+    split = ordering.chronological_split(targets.customer_targets(known, CUTOFF, HORIZON_DAYS, first_order=True))
+    return tidy(split.join(features.feature_matrix(known, CUTOFF), CUSTOMER, "left"))
 
 
 def time_series_folds(spark: SparkSession, folder: str) -> DataFrame:

@@ -45,8 +45,8 @@ def training_table(
     orders: DataFrame, cutoff: datetime | str, settings: Settings, counts: DataFrame | None = None
 ) -> DataFrame:
     """Targets, split, tiers and features of every customer known before the cutoff, made durable."""
-    found = targets.customer_targets(orders, cutoff, settings.horizon_days)
-    split = ordering.chronological_split(found, orders, settings.train_fraction).drop("position")
+    found = targets.customer_targets(orders, cutoff, settings.horizon_days, first_order=True)
+    split = ordering.chronological_split(found, train_fraction=settings.train_fraction).drop("position")
     fitted_on = split.filter("split = 'train'") if settings.tiers_from == "train" else split
     tiered = targets.with_spend_tier(split, targets.tier_edges(fitted_on))
     matrix = feats.feature_matrix(orders, cutoff, windows=settings.lookback_days, counts=counts)

@@ -128,13 +128,18 @@ def random_params(space: SearchSpace, rng: random.Random, seed: int) -> TreePara
     )
 
 
-def _folds(train: DataFrame, label_col: str, objective: str, folds: int, order_by: Sequence[str], seed: int):
-    """(fold number, rows to train on, rows to validate on) of the cross-validation that suits the objective."""
+def _numbered(train, label_col: str, objective: str, folds: int, order_by: Sequence[str], seed: int) -> DataFrame:
     if objective == "multi":
-        dealt = stratified_folds(train, label_col, order_by[-1], folds, seed)
-        return [(i, dealt.filter(F.col("fold") != i), dealt.filter(F.col("fold") == i)) for i in range(folds)]
-    placed = time_series_folds(train, list(order_by), folds)
-    return [(i, placed.filter(F.col("fold") < i), placed.filter(F.col("fold") == i)) for i in range(1, folds + 1)]
+        return stratified_folds(train, label_col, order_by[-1], folds, seed)
+    return time_series_folds(train, list(order_by), folds)
+
+
+def _sides(numbered: DataFrame, objective: str, folds: int) -> list[tuple[DataFrame, DataFrame]]:
+    """(rows to train on, rows to validate on) of every fold."""
+    fold = F.col("fold")
+    if objective == "multi":
+        return [(numbered.filter(fold != i), numbered.filter(fold == i)) for i in range(folds)]
+    return [(numbered.filter(fold < i), numbered.filter(fold == i)) for i in range(1, folds + 1)]
 
 
 def _fold_score(fit, validate, features, label_col, params, objective) -> float:
@@ -168,12 +173,9 @@ def tune_model(
     spark = train.sparkSession
     rng = random.Random(seed)
     drawn = [random_params(space or SearchSpace(), rng, seed) for _ in range(trials)]
-    parts = _folds(train, label_col, objective, folds, order_by, seed)
-    usable = []
-    for _, fit, validate in parts:
-        fit, validate = fit.cache(), validate.cache()
-        usable.append((fit, validate))
-    scorable = [pair for pair in usable if _has_classes(*pair, label_col, objective)]
+    numbered = _numbered(train, label_col, objective, folds, order_by, seed).cache()
+    sides = _sides(numbered, objective, folds)
+    scorable = [pair for pair in sides if _has_classes(*pair, label_col, objective)]
     if not scorable:
         raise ValueError("no fold holds both classes")
 
@@ -184,12 +186,10 @@ def tune_model(
 
     with ThreadPoolExecutor(max_workers=max(1, min(parallelism, trials))) as pool:
         means = list(pool.map(judge, drawn))
-    for fit, validate in usable:
-        fit.unpersist()
-        validate.unpersist()
+    numbered.unpersist()
     best = max(range(trials), key=lambda i: (means[i], -i))
     rows = [
-        (number, *asdict(params).values(), mean, len(usable) - len(scorable), number == best)
+        (number, *asdict(params).values(), mean, len(sides) - len(scorable), number == best)
         for number, (params, mean) in enumerate(zip(drawn, means, strict=True))
     ]
     schema = (

@@ -2,7 +2,15 @@ from fixtures import at
 from pyspark.sql import functions as F
 
 from tidemark.operators.base_table import base_table
-from tidemark.sources import commerce_tables, read_base_table, read_csv_tables, read_parquet_tables, write_base_table
+from tidemark.operators.requests import valid_requests, validate_requests
+from tidemark.sources import (
+    commerce_tables,
+    read_base_table,
+    read_csv_tables,
+    read_parquet_tables,
+    read_requests,
+    write_base_table,
+)
 from tidemark.sources.schemas import TABLE_COLUMNS
 
 FILES = {
@@ -76,3 +84,37 @@ def test_base_table_round_trip_prunes_months(spark, tmp_path):
     assert early.count() == base.filter(F.col("order_purchase_timestamp") < F.lit("1997-03-15").cast("timestamp_ntz")).count()
     plan = early._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(purchase_month" in plan
+
+
+def test_requests_from_json(spark, tmp_path):
+    import json
+
+    sample = {
+        "order_id": "order-001",
+        "order_purchase_timestamp": "2018-03-15T10:30:00",
+        "payment_value": 149.90,
+        "payment_installments": 3,
+        "order_item_count": 2,
+        "freight_value": 12.50,
+        "order_delivered_customer_date": "2018-03-22T14:00:00",
+    }
+    asked = [
+        {"request_id": "fine", "customer_unique_id": "c", "cutoff_date": "2018-07-01T00:00:00", "orders": [sample]},
+        {
+            "request_id": "text for a number",
+            "customer_unique_id": "c",
+            "cutoff_date": "2018-07-01T00:00:00",
+            "orders": [{**sample, "payment_value": "much"}],
+        },
+        {"request_id": "no array", "customer_unique_id": "c", "cutoff_date": "2018-07-01T00:00:00"},
+    ]
+    (tmp_path / "asked.json").write_text("\n".join(json.dumps(request) for request in asked))
+    requests = read_requests(spark, f"{tmp_path}/asked.json")
+    found = {r["request_id"]: r["violations"] for r in validate_requests(requests).collect()}
+    assert found["fine"] == []
+    assert found["no array"] == ["orders"]
+    assert found["text for a number"]
+    row = valid_requests(requests).first()
+    assert row["cutoff_date"] == at("2018-07-01")
+    assert row["orders"][0]["order_purchase_timestamp"] == at("2018-03-15T10:30:00")
+    assert row["orders"][0]["review_score"] is None

@@ -1,5 +1,11 @@
 from tidemark.sources.commerce import commerce_tables
-from tidemark.sources.readers import CommerceTables, read_base_table, read_csv_tables, read_parquet_tables
+from tidemark.sources.readers import (
+    CommerceTables,
+    read_base_table,
+    read_csv_tables,
+    read_parquet_tables,
+    read_requests,
+)
 from tidemark.sources.sinks import write_base_table
 
 __all__ = [
@@ -8,5 +14,6 @@ __all__ = [
     "read_base_table",
     "read_csv_tables",
     "read_parquet_tables",
+    "read_requests",
     "write_base_table",
 ]

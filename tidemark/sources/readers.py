@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions import as_timestamp
-from tidemark.sources.schemas import CSV_PATTERNS, MULTI_LINE_TABLES, TABLE_COLUMNS
+from tidemark.sources.schemas import CSV_PATTERNS, MULTI_LINE_TABLES, REQUEST_SCHEMA, TABLE_COLUMNS
 
 CORRUPT = "_corrupt_record"
 
@@ -93,3 +93,11 @@ def read_base_table(spark: SparkSession, path: str, before: datetime | str | Non
         return table
     moment = as_timestamp(before)
     return table.filter((F.col("purchase_month") <= moment.cast("date")) & (F.col("order_purchase_timestamp") < moment))
+
+
+def read_requests(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
+    """Scoring requests, one per row, each with a ``request_id`` of its own.
+
+    A field that does not fit its type is NULL, which the validation of requests then reports by name.
+    """
+    return spark.read.schema(REQUEST_SCHEMA).format(fmt).load(path)

@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from tidemark.durable import checkpoint_root, durable, lookup
+from tidemark.durable import checkpoint_root, durable
 
 
 def test_the_folder_of_the_session_is_used(spark):
@@ -12,14 +12,7 @@ def test_durable_rows_are_computed_once(spark):
     assert df.collect() == df.collect()
 
 
-def test_lookup_is_broadcast_only_within_its_bound(spark):
-    left = spark.range(1000).withColumn("k", F.col("id") % 10)
-    right = spark.range(10).withColumnRenamed("id", "k")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        for bound, name in ((10, "BroadcastHashJoin"), (9, "SortMergeJoin")):
-            joined = left.join(lookup(right, bound), "k")
-            assert name in joined._jdf.queryExecution().executedPlan().toString()
-            assert joined.count() == 1000
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+def test_a_durable_table_is_read_column_by_column(spark):
+    wide = durable(spark.range(10).select("id", F.lit("x").alias("a"), F.lit("y").alias("b")))
+    plan = wide.filter("id > 3").select("a")._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan parquet" in plan and "b#" not in plan and "PushedFilters: [IsNotNull(id), GreaterThan(id,3)]" in plan

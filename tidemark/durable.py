@@ -3,12 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-# Rows a lookup table may have to be broadcast: narrow rows, so a few megabytes at most.
-BROADCAST_ROWS = 100_000
 
 
 def checkpoint_root(spark: SparkSession) -> str:
@@ -33,17 +30,27 @@ def checkpoint_root(spark: SparkSession) -> str:
     return folder
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """``df`` computed once and read back from reliable storage from here on."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+def shared_folder(spark: SparkSession, kind: str) -> str:
+    """A new path under the shared folder; what is written there goes when the session's JVM ends."""
+    path = f"{checkpoint_root(spark).rstrip('/')}/{kind}-{uuid.uuid4().hex}"
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(jvm_path)
+    files.deleteOnExit(jvm_path)
+    return path
+
 
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder made by ``shared_folder`` before the session ends."""
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jvm_path, True)
 
-def lookup(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``df``, computed once, for use as the small side of joins.
 
-    It is marked for broadcast only if it was counted to have at most ``rows`` rows; a larger one stays an ordinary
-    join side, which Spark shuffles and splits where a key is crowded.
+def durable(df: DataFrame) -> DataFrame:
+    """``df`` computed once, written as parquet to the shared folder, and read from there.
+
+    Later steps prune columns and push filters into the files. Column names must differ.
     """
-    kept = durable(df)
-    return F.broadcast(kept) if kept.limit(rows + 1).count() <= rows else kept
+    path = shared_folder(df.sparkSession, "durable")
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

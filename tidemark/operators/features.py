@@ -109,17 +109,15 @@ def state_counts(states: DataFrame) -> DataFrame:
 def state_frequency(past: DataFrame, counts: DataFrame | None = None, by: Sequence[str] = (CUSTOMER,)) -> DataFrame:
     """Each customer with the number of customers of the same state.
 
-    ``counts`` are stored frequencies to look up; without them they are counted here. Spark broadcasts the counts if
+    ``counts`` are stored frequencies to look up; without them they are counted here. Spark broadcasts them if
     they measure small at run time. If they do not, one state may still hold a third of the customers, and adaptive
     execution does not split a join whose other side is an aggregate on the same key. So customers of a state are
     dealt over several salts, and each salt gets its copy of the counts.
     """
     states = latest_state(past, by)
-    if counts is not None:
-        return states.join(counts, "customer_state", "left").select(*by, "customer_state_freq")
     salted = states.withColumn("_salt", F.pmod(F.hash(*by), F.lit(STATE_SALTS)))
     copies = F.explode(F.sequence(F.lit(0), F.lit(STATE_SALTS - 1)))
-    counted = state_counts(states).withColumn("_salt", copies)
+    counted = (state_counts(states) if counts is None else counts).withColumn("_salt", copies)
     return salted.join(counted, ["customer_state", "_salt"], "left").select(*by, "customer_state_freq")
 
 

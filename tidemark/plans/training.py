@@ -8,7 +8,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.durable import durable, lookup
+from tidemark.durable import durable
 from tidemark.operators import features as feats
 from tidemark.operators import metrics, ordering, targets
 from tidemark.operators.attribution import select_features
@@ -38,7 +38,7 @@ class Trained:
 
 def training_counts(orders: DataFrame, cutoff: datetime | str) -> DataFrame:
     """Customers per state before the cutoff, computed once for the features and for the artifact."""
-    return lookup(feats.state_counts(feats.latest_state(feats.history(orders, cutoff))))
+    return durable(feats.state_counts(feats.latest_state(feats.history(orders, cutoff))))
 
 
 def training_table(

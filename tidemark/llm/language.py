@@ -186,6 +186,12 @@ def learn(documents: DataFrame) -> LanguageFilter | None:
     return fit(documents.filter(known).select("doc_id", "text", "lang"))
 
 
+def known_language(documents: DataFrame) -> DataFrame:
+    """The documents, with all their columns, whose language is found; those that are ``und`` are left out."""
+    whole = documents.select(F.struct("*").alias("row"), "text")
+    return predict(whole, learn(documents)).filter(F.col("lang_pred") != UNKNOWN).select("row.*")
+
+
 def identify(documents: DataFrame) -> DataFrame:
     """doc_id, held_out, lang_pred, score of every document; ids, sources and labels are no inputs of a prediction.
 

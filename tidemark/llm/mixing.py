@@ -71,6 +71,24 @@ def block_quotas(targets: DataFrame, block: int, blocks: int, shards: int) -> Da
     return won.groupBy("source", shard.alias("shard")).agg(F.count(F.lit(1)).alias("quota"))
 
 
+def mixed_rows(documents: DataFrame) -> DataFrame:
+    """The rows of the mix: every document as often as it is taken, a part of a document counting as the whole.
+
+    Documents that give no words are left out. Rows that agree in doc_id, source and size share their copies evenly.
+    """
+    copies = F.ceil(F.sum("taken") / (F.max("size") * F.count(F.lit(1))))
+    taken = mix(documents).filter("taken > 0").groupBy("doc_id", "source", "size").agg(copies.cast("int").alias("n"))
+    facts = durable(taken.select(*[F.col(c).alias(f"_mix_{c}") for c in ("doc_id", "source", "size", "n")]))
+    same = (
+        F.col("doc_id").eqNullSafe(F.col("_mix_doc_id"))
+        & F.col("source").eqNullSafe(F.col("_mix_source"))
+        & (F.col("_words") == F.col("_mix_size"))
+    )
+    joined = documents.withColumn("_words", word_count(F.col("text"))).join(facts, same)
+    again = joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_mix_n"))))
+    return again.select(*[documents[c] for c in documents.columns])
+
+
 def mix(documents: DataFrame, blocks: int = BLOCKS, shards: int = 40, seed: int = 29) -> DataFrame:
     """doc_id, size, source, source_size, target and ``taken`` words of every document.
 

@@ -249,3 +249,16 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
         component.alias("component_id"),
         F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"),
     )
+
+
+def one_of_each(documents: DataFrame) -> DataFrame:
+    """One document of each group of near-duplicates, with all its columns: that of the smallest doc_id.
+
+    Of several rows with that doc_id the smallest row stays. Rows without a doc_id stay.
+    """
+    found = near_duplicates(documents).filter(F.col("kept") & F.col("doc_id").isNotNull())
+    kept = durable(found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n")))
+    single = documents.join(kept.filter("_n = 1"), "doc_id", "left_semi")
+    several = documents.join(durable(kept.filter("_n > 1")), "doc_id", "left_semi")
+    smallest = several.groupBy("doc_id").agg(F.min(F.struct(*documents.columns)).alias("_row")).select("_row.*")
+    return single.unionByName(smallest).unionByName(documents.filter(F.col("doc_id").isNull()))

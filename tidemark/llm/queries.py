@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import archive, extract, language, mixing, nearest, neardup, pieces, sharding, toplists
+from tidemark.llm import archive, extract, language, licenses, mixing, nearest, neardup, pieces, sharding, toplists
 from tidemark.llm.shipping import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +33,10 @@ def op2_nearest_vectors(spark: SparkSession, folder: str) -> DataFrame:
     return nearest.nearest(_table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op3_scan_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.find_templates(_table(spark, folder, "documents"), licenses.notices(spark))
+
+
 def op4_top_scores(spark: SparkSession, folder: str) -> DataFrame:
     return toplists.top_scores(_table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0)
 
@@ -66,6 +70,7 @@ QUERIES: dict[str, Query] = {
     for f in (
         op1_shard_documents,
         op2_nearest_vectors,
+        op3_scan_licenses,
         op4_top_scores,
         op5_identify_language,
         op6_archive_pages,

@@ -19,25 +19,39 @@ from tidemark.llm.shingles import shingle_sets
 WORDS = 5
 # Similarity of 75 of 100 links two documents.
 PART, OF = 75, 100
-# A signature has SYMBOLS symbols of 16 bits. Its first CHUNKS * CHUNK ones are indexed.
-SYMBOLS, CHUNKS, CHUNK, ERRORS = 128, 12, 5, 1
-# Pairs that differ in more symbols than this are not compared on their sets. At similarity 0.75 a symbol differs with
-# probability 1/4, so 32 of 128 on average; 58 is 5.3 standard deviations more (chance about 1e-7).
-MOST_DIFFERENT = 58
+# A signature has CHUNKS * CHUNK symbols of 16 bits, all indexed.
+CHUNKS, CHUNK, ERRORS = 12, 5, 1
+SYMBOLS = CHUNKS * CHUNK
+# Documents that share a key also get a sketch of SKETCH symbols of 8 bits. Pairs whose sketches differ in more than
+# MOST_DIFFERENT symbols, or in more than FIRST_DIFFERENT of the first FIRST, are not compared on their sets. At
+# similarity 0.75 a symbol differs with probability 0.249: 127.5 of 512 and 31.9 of 128 on average, and these limits are
+# 4.5 and 5.3 standard deviations more (chances of 3e-6 and 1e-7).
+SKETCH, MOST_DIFFERENT, FIRST, FIRST_DIFFERENT = 512, 172, 128, 58
+# Keys that a document must share with the smallest of their documents to be compared in the first round
+STAR_KEYS = 3
 _BLOCK = 1024
 
 _RANDOM = np.random.default_rng(7)
-_TIMES = _RANDOM.integers(0, 1 << 31, SYMBOLS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
-_PLUS = _RANDOM.integers(0, 1 << 32, SYMBOLS, dtype=np.uint32)
+_TIMES = _RANDOM.integers(0, 1 << 31, SYMBOLS + SKETCH, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+_PLUS = _RANDOM.integers(0, 1 << 32, SYMBOLS + SKETCH, dtype=np.uint32)
 
 
-def signature(shingles: np.ndarray) -> np.ndarray:
-    """16 bits of the smallest value of each of ``SYMBOLS`` permutations of the shingles' hashes."""
-    low = np.full(SYMBOLS, np.iinfo(np.uint32).max, np.uint32)
+def smallest(shingles: np.ndarray, first: int, last: int) -> np.ndarray:
+    """Mixed smallest value of the shingles' hashes under the permutations numbered from ``first`` to ``last``."""
+    low = np.full(last - first, np.iinfo(np.uint32).max, np.uint32)
     hashes = (shingles >> np.uint64(32)).astype(np.uint32)
+    times, plus = _TIMES[first:last], _PLUS[first:last]
     for start in range(0, len(hashes), 512):
-        np.minimum(low, (hashes[start : start + 512, None] * _TIMES + _PLUS).min(axis=0), out=low)
-    return (mixed(low.astype(np.uint64)) >> np.uint64(48)).astype(np.uint16)
+        np.minimum(low, (hashes[start : start + 512, None] * times + plus).min(axis=0), out=low)
+    return mixed(low.astype(np.uint64))
+
+
+def signature(shingles: np.ndarray) -> np.ndarray:
+    return (smallest(shingles, 0, SYMBOLS) >> np.uint64(48)).astype(np.uint16)
+
+
+def sketch(shingles: np.ndarray) -> np.ndarray:
+    return (smallest(shingles, SYMBOLS, SYMBOLS + SKETCH) >> np.uint64(56)).astype(np.uint8)
 
 
 def patterns() -> list[np.ndarray]:
@@ -75,6 +89,15 @@ def _symbols(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(-1, SYMBOLS)
 
 
+def _keys_of(signs: np.ndarray) -> np.ndarray:
+    """The keys of each signature, one column per pattern."""
+    picked = signs[:, _PATTERNS].astype(np.uint64)
+    packed = np.zeros(picked.shape[:2], np.uint64)
+    for i in range(picked.shape[2]):
+        packed = mixed(packed + picked[:, :, i] + (np.arange(len(_PATTERNS), dtype=np.uint64) << np.uint64(20)))
+    return packed.view(np.int64)
+
+
 def index_keys(classes: DataFrame) -> DataFrame:
     """key, node: a row for each pattern of each class's signature."""
 
@@ -84,21 +107,49 @@ def index_keys(classes: DataFrame) -> DataFrame:
                 continue
             signs, nodes = _symbols(batch.column("signature")), batch.column("node").to_numpy()
             for start in range(0, len(nodes), 2048):
-                picked = signs[start : start + 2048, _PATTERNS].astype(np.uint64)
-                packed = np.zeros(picked.shape[:2], np.uint64)
-                for i in range(picked.shape[2]):
-                    packed = mixed(packed + picked[:, :, i] + (np.arange(len(_PATTERNS), dtype=np.uint64) << np.uint64(20)))
-                out = [packed.reshape(-1).view(np.int64), np.repeat(nodes[start : start + 2048], len(_PATTERNS))]
+                keys = _keys_of(signs[start : start + 2048])
+                out = [keys.reshape(-1), np.repeat(nodes[start : start + 2048], len(_PATTERNS))]
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in out], names=["key", "node"])
 
     return classes.select("node", "signature").mapInArrow(run, "key long, node long")
 
 
-def _near(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose set sizes and signatures allow the similarity that links."""
+def _sketches(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, SKETCH)
+
+
+def _sets(documents: DataFrame, wanted: DataFrame) -> DataFrame:
+    """node, n_shingles, signature, sketch and shingles of the classes ``wanted``, from their texts."""
+    keyed = wanted.select("node", "set_key", "n_shingles", "signature")
+    texts = documents.select(F.col("doc_id").cast("long").alias("node"), "text").join(keyed, "node")
+    names = ["node", "n_shingles", "signature"]
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = list(shingle_sets(*flat(batch.column("text")), WORDS))
+            digests = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
+            right = [d == key.as_py() for d, key in zip(digests, batch.column("set_key"), strict=True)]
+            made = [pa.array([f(s).tobytes() for s in sets], pa.binary()) for f in (sketch, np.asarray)]
+            columns = [*(batch.column(c) for c in names), *made]
+            yield pa.RecordBatch.from_arrays(columns, names=[*names, "sketch", "shingles"]).filter(pa.array(right, pa.bool_()))
+
+    schema = "node long, n_shingles long, signature binary, sketch binary, shingles binary"
+    made = texts.select(*names, "set_key", "text").mapInArrow(make, schema)
+    return made.dropDuplicates(["node"])
+
+
+def _similar(one: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """Which of the other sketches may belong to sets of the similarity that links."""
+    near = np.flatnonzero((others[:, :FIRST] != one[..., :FIRST]).sum(axis=1) <= FIRST_DIFFERENT)
+    rest = one[near] if one.ndim == 2 else one
+    return near[(others[near] != rest).sum(axis=1) <= MOST_DIFFERENT]
+
+
+def _near(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose set sizes and sketches allow the similarity that links."""
     for side in "ab":
-        facts = classes.select(
-            F.col("node").alias(side), F.col("n_shingles").alias(f"n_{side}"), F.col("signature").alias(f"signature_{side}")
+        facts = sets.select(
+            F.col("node").alias(side), F.col("n_shingles").alias(f"n_{side}"), F.col("sketch").alias(f"sketch_{side}")
         )
         pairs = pairs.join(facts, side)
     sizes = F.greatest("n_a", "n_b") * PART <= F.least("n_a", "n_b") * OF
@@ -106,27 +157,14 @@ def _near(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                different = (_symbols(batch.column("signature_a")) != _symbols(batch.column("signature_b"))).sum(axis=1)
-                kept = pa.array(different <= MOST_DIFFERENT)
-                yield batch.select(["a", "b"]).filter(kept)
+                near = _similar(_sketches(batch.column("sketch_a")), _sketches(batch.column("sketch_b")))
+                yield batch.select(["a", "b"]).take(pa.array(near))
 
-    return pairs.filter(sizes).select("a", "b", "signature_a", "signature_b").mapInArrow(run, "a long, b long")
+    return pairs.filter(sizes).select("a", "b", "sketch_a", "sketch_b").mapInArrow(run, "a long, b long")
 
 
-def _confirmed(pairs: DataFrame, documents: DataFrame, classes: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose full shingle sets are similar enough, with the sizes of intersection and union compared."""
-    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-    wanted = durable(classes.join(wanted, "node", "left_semi").select("node", "set_key"))
-    texts = documents.select(F.col("doc_id").cast("long").alias("node"), "text").join(wanted, "node")
-
-    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [s.tobytes() for s in shingle_sets(*flat(batch.column("text")), WORDS)]
-            right = [hashlib.blake2b(s, digest_size=16).digest() == key.as_py() for s, key in zip(sets, batch.column("set_key"), strict=True)]
-            columns = [batch.column("node"), pa.array(sets, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, names=["node", "shingles"]).filter(pa.array(right, pa.bool_()))
-
-    sets = durable(texts.select("node", "set_key", "text").mapInArrow(make, "node long, shingles binary").dropDuplicates(["node"]))
+def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose full shingle sets are similar enough."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -143,18 +181,23 @@ def _confirmed(pairs: DataFrame, documents: DataFrame, classes: DataFrame) -> Da
     return both.select("a", "b", "set_a", "set_b").mapInArrow(compare, "a long, b long")
 
 
-def _across(shared: DataFrame, labels: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs (a, b) that share a key but not a component, and whose signatures are near.
+def _across(shared: DataFrame, labels: DataFrame, sets: DataFrame, every: bool) -> DataFrame:
+    """Pairs (a, b) that share a key but not a component, and whose sizes and sketches are near.
 
-    A key's classes are dealt into blocks of about ``_BLOCK``, and every two blocks meet in one task; with them
-    all cross pairs are compared on signatures there, and only near ones leave it.
+    A key's classes are dealt into blocks of about ``_BLOCK``, and every two blocks meet in one task. There all
+    cross pairs are compared on sketches. With ``every`` each near pair leaves the task of the first key that it
+    shares, and only that; without it, a class leaves with its nearest partner of another component alone.
     """
     labelled = shared.join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"))
     labelled = durable(labelled)
-    torn = labelled.groupBy("key").agg(F.min("label").alias("_low"), F.max("label").alias("_high"), F.count(F.lit(1)).alias("_n"))
+    torn = labelled.groupBy("key").agg(
+        F.min("label").alias("_low"), F.max("label").alias("_high"), F.count(F.lit(1)).alias("_n")
+    )
     torn = durable(torn.filter("_low < _high").select("key", F.ceil(F.col("_n") / _BLOCK).alias("_blocks")))
-    facts = classes.select("node", "n_shingles", "signature")
-    own = labelled.join(torn, "key").join(facts, "node").withColumn("_own", F.pmod(F.xxhash64("node"), "_blocks"))
+    by_node = labelled.join(torn, "key").groupBy("node", "label").agg(F.collect_list(F.struct("key", "_blocks")).alias("_keys"))
+    facts = sets.select("node", "n_shingles", "sketch", *(["signature"] if every else [F.lit(b"").alias("signature")]))
+    own = by_node.join(facts, "node").select("*", F.inline("_keys"))
+    own = own.withColumn("_own", F.pmod(F.xxhash64("node"), "_blocks"))
     others = F.explode(F.sequence(F.lit(0).cast("long"), F.col("_blocks") - 1)).alias("_other")
     met = own.select("*", others).select(
         "key",
@@ -164,6 +207,7 @@ def _across(shared: DataFrame, labels: DataFrame, classes: DataFrame) -> DataFra
         "node",
         "label",
         "n_shingles",
+        "sketch",
         "signature",
     )
     group = ["key", "_i", "_j"]
@@ -177,35 +221,44 @@ def _across(shared: DataFrame, labels: DataFrame, classes: DataFrame) -> DataFra
             spots = np.stack([waiting[c].to_numpy() for c in group], axis=1)
             edges = np.flatnonzero((spots[1:] != spots[:-1]).any(axis=1)) + 1
             if len(edges):
-                yield from _meet(waiting.slice(0, edges[-1]), np.concatenate([[0], edges]))
+                yield from _meet(waiting.slice(0, edges[-1]), np.concatenate([[0], edges]), every)
                 waiting = waiting.slice(edges[-1])
         if waiting is not None and waiting.num_rows:
-            yield from _meet(waiting, np.array([0, waiting.num_rows]))
+            yield from _meet(waiting, np.array([0, waiting.num_rows]), every)
 
     return met.mapInArrow(compare, "a long, b long").distinct()
 
 
-def _meet(table: pa.Table, edges: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _meet(table: pa.Table, edges: np.ndarray, every: bool) -> Iterator[pa.RecordBatch]:
     nodes, labels, sizes = (table[c].to_numpy() for c in ("node", "label", "n_shingles"))
-    first, own = table["_i"].to_numpy(), table["_own"].to_numpy()
-    last = table["_j"].to_numpy()
-    signs = _symbols(table["signature"].combine_chunks())
-    left_found, right_found = [], []
+    first, last, own, keys = (table[c].to_numpy() for c in ("_i", "_j", "_own", "key"))
+    sketches = _sketches(table["sketch"].combine_chunks())
+    held = _keys_of(_symbols(table["signature"].combine_chunks())) if every else None
+    found: list[tuple[np.ndarray, np.ndarray]] = []
     for start, end in zip(edges[:-1], edges[1:], strict=True):
         at = np.arange(start, end)
         left = at[own[start:end] == first[start]]
         right = at[own[start:end] == last[start]]
         for one in left:
-            rest = right[right > one] if first[start] == last[start] else right
+            rest = right[right > one] if every and first[start] == last[start] else right
             rest = rest[labels[rest] != labels[one]]
             low, high = np.minimum(sizes[rest], sizes[one]), np.maximum(sizes[rest], sizes[one])
             rest = rest[high * PART <= low * OF]
+            if not len(rest):
+                continue
+            rest = rest[_similar(sketches[one], sketches[rest])]
+            if every:
+                # The first pattern that both agree in must be this key's.
+                agree = held[rest] == held[one]
+                rest = rest[held[rest, agree.argmax(axis=1)] == keys[one]]
+            elif len(rest):
+                rest = rest[[(sketches[rest] != sketches[one]).sum(axis=1).argmin()]]
             if len(rest):
-                rest = rest[(signs[rest] != signs[one]).sum(axis=1) <= MOST_DIFFERENT]
-                left_found.append(np.minimum(nodes[rest], nodes[one]))
-                right_found.append(np.maximum(nodes[rest], nodes[one]))
-    if left_found:
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(left_found)), pa.array(np.concatenate(right_found))], names=["a", "b"])
+                found.append((np.full(len(rest), nodes[one]), nodes[rest]))
+    if found:
+        left, right = (np.concatenate(side) for side in zip(*found, strict=True))
+        columns = [pa.array(np.minimum(left, right)), pa.array(np.maximum(left, right))]
+        yield pa.RecordBatch.from_arrays(columns, names=["a", "b"])
 
 
 def near_duplicates(documents: DataFrame) -> DataFrame:
@@ -213,18 +266,19 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
 
     Documents of equal shingle sets are one class, of which the smallest doc_id stands for all. Signatures of classes
     are joined by ``index_keys``: any two that differ in at most 23 of the 60 indexed symbols share a key; at similarity 0.75
-    a pair shares none with a chance of 6e-6, and a more similar one far less. First each class is compared with the
-    smallest of each of its keys and the links found are joined to components. Then, where a key still holds several
-    components, their classes are compared across. So every two classes that share a key are linked through others,
-    or have been compared; large groups of near copies cost no quadratic number of comparisons. All links are confirmed
+    a pair shares none with a chance of 6e-6, and a more similar one far less. In the first round each class is compared
+    with the smallest class of several of its keys, and the links found make components. In the second each class is
+    compared with its nearest one of another component, key by key. In the third, where a key still holds several
+    components, all pairs across them whose sketches are near are compared. So in the end every two classes that share
+    a key are in one component or have been compared, and pairs within a component cost nothing. All links are confirmed
     on the full sets.
 
     Rows without words (or text) have no shingles and are their own component, kept. A row without a doc_id is linked
     with nothing: its component_id is null and it is kept. Repeated rows get the same answer each. If a doc_id has
     several texts, all share its component, and the one of the smallest set key is compared with others.
     """
-    sets = durable(signatures(documents))
-    known = sets.filter(F.col("set_key").isNotNull() & F.col("doc_id").isNotNull())
+    found = durable(signatures(documents))
+    known = found.filter(F.col("set_key").isNotNull() & F.col("doc_id").isNotNull())
     reps = durable(known.groupBy("set_key").agg(F.min("doc_id").alias("node")))
     one = reps.groupBy("node").agg(F.min("set_key").alias("set_key"))
     classes = known.join(one.withColumnRenamed("node", "doc_id"), ["doc_id", "set_key"])
@@ -234,14 +288,20 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     buckets = keys.groupBy("key").agg(F.min("node").alias("low"), F.count(F.lit(1)).alias("_n"))
     buckets = durable(buckets.filter("_n > 1").drop("_n"))
     shared = durable(keys.join(buckets, "key"))
-    stars = shared.filter("low < node").select(F.col("low").alias("a"), F.col("node").alias("b")).distinct()
-    links = durable(_confirmed(durable(_near(stars, classes)), documents, classes))
+    grouped = shared.select("node").distinct()
+    sets = durable(_sets(documents, durable(classes.join(grouped, "node", "left_semi"))))
+    stars = shared.filter("low < node").groupBy(F.col("low").alias("a"), F.col("node").alias("b")).count()
+    stars = stars.filter(F.col("count") >= STAR_KEYS).select("a", "b")
+    links = durable(_confirmed(durable(_near(stars, sets)), sets))
     labels = components(links)
-    more = durable(_confirmed(durable(_across(shared.select("key", "node"), labels, classes)), documents, classes))
-    if not more.isEmpty():
-        labels = components(links.union(more))
+    shared = shared.select("key", "node")
+    for every in (False, True):
+        more = durable(_confirmed(durable(_across(shared, labels, sets, every)), sets))
+        if not more.isEmpty():
+            links = durable(links.union(more))
+            labels = components(links)
     answer = reps.join(labels, "node", "left").select("set_key", F.coalesce("label", "node").alias("_component"))
-    found = sets.select("doc_id", "n_shingles", "set_key").join(durable(answer), "set_key", "left")
+    found = found.select("doc_id", "n_shingles", "set_key").join(durable(answer), "set_key", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("_component", "doc_id"))
     return found.select(
         "doc_id",

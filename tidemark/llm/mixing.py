@@ -101,7 +101,7 @@ def mix(documents: DataFrame, blocks: int = BLOCKS, shards: int = 40, seed: int
     Null, empty and blank texts have size 0 and give nothing; null ids and sources are ordinary values; repeated rows
     count each; an empty table gives an empty result. Equal rows may swap their places.
     """
-    narrow = documents.select("doc_id", "source", word_count(F.col("text")).alias("size"))
+    narrow = durable(documents.select("doc_id", "source", word_count(F.col("text")).alias("size")))
     order = [F.asc_nulls_last("source"), F.xxhash64(F.lit(seed), "doc_id", "size"), "doc_id", "size"]
     laid = durable(
         global_running(narrow, order, ["size"]).select(

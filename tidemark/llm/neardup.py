@@ -24,9 +24,9 @@ CHUNKS, CHUNK, ERRORS = 12, 5, 1
 SYMBOLS = CHUNKS * CHUNK
 # Documents that share a key also get a sketch of SKETCH symbols of 8 bits. Pairs whose sketches differ in more than
 # MOST_DIFFERENT symbols, or in more than FIRST_DIFFERENT of the first FIRST, are not compared on their sets. At
-# similarity 0.75 a symbol differs with probability 0.249: 127.5 of 512 and 31.9 of 128 on average, and these limits are
-# 4.5 and 5.3 standard deviations more (chances of 3e-6 and 1e-7).
-SKETCH, MOST_DIFFERENT, FIRST, FIRST_DIFFERENT = 512, 172, 128, 58
+# similarity 0.75 a symbol differs with probability 0.249: 255 of 1024 and 63.7 of 256 on average, and these limits are
+# 4.5 and 5.1 standard deviations more (chances of 4e-6 and 2e-7).
+SKETCH, MOST_DIFFERENT, FIRST, FIRST_DIFFERENT = 1024, 317, 256, 99
 # Keys that a document must share with the smallest of their documents to be compared in the first round
 STAR_KEYS = 3
 _BLOCK = 1024

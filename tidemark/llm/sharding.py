@@ -54,7 +54,7 @@ def shard_documents(documents: DataFrame, shards: int = 40, seed: int = 17) -> D
         F.crc32(content.cast("binary")).alias("text_crc32"),
         "source",
     )
-    dealt = interleave(narrow, F.col("source"), ["doc_id", "text_crc32", "size"], shards, seed)
+    dealt = interleave(durable(narrow), F.col("source"), ["doc_id", "text_crc32", "size"], shards, seed)
     return dealt.select(
         "doc_id",
         "size",

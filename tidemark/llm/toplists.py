@@ -12,7 +12,7 @@ from tidemark.llm.vectors import matrix, usable
 
 
 def scan_lists(
-    query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, values: np.ndarray, k: int, rounds: int = 8
+    query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, values: np.ndarray, k: int, rounds: int = 4
 ) -> pd.DataFrame:
     """The ``k`` highest inner products of every query among the rows of one block.
 
@@ -74,7 +74,7 @@ def top_scores(
     id_col: str = "vec_id",
     vector_col: str = "embedding",
     scale: int = 1024,
-    block: int = 8192,
+    block: int = 2048,
     query_block: int = 128,
 ) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: exactly the ``k`` highest integer scores of each query.

@@ -1,0 +1,156 @@
+"""Operators on vectors and pages against plain Python, with every odd case."""
+
+import base64
+import hashlib
+import html
+import re
+
+import numpy as np
+import pyarrow.fs
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.durable import shared_folder
+from tidemark.llm import archive, extract, nearest, toplists
+from tidemark.llm.shipping import ship
+
+FOLDER = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="module")
+def odd_vectors(spark):
+    ship(spark)
+    rows = [
+        (0, [1.0, 0.5, 0.0]),
+        (20, [0.0, 0.0, 0.0]),
+        (40, None),
+        (60, [1.0, None, 0.0]),
+        (80, [float("nan"), 1.0, 0.0]),
+        (100, [float("inf"), 1.0, 0.0]),
+        (101, [1.0, 0.5, 0.0]),
+        (102, [1.0, 0.5, 0.0]),
+        (102, [1.0, 0.5, 0.0]),
+        (103, [-1.0, -0.5, 0.25]),
+        (104, []),
+        (105, [1.0, 2.0]),
+        (None, [1.0, 1.0, 1.0]),
+    ]
+    return spark.createDataFrame([(i, v, i, 0) for i, v in rows], "vec_id long, embedding array<float>, rank long, score int")
+
+
+def test_nearest_of_odd_vectors(odd_vectors):
+    got = nearest.nearest(odd_vectors, F.col("vec_id") % 20 == 0).orderBy("query_id", "rank").collect()
+    assert [(r.query_id, r.rank, r.vec_id, r.score) for r in got] == [(0, 1, 101, 1.25), (0, 2, 102, 1.25), (0, 3, 103, -1.25)]
+    assert nearest.nearest(odd_vectors.limit(0), F.col("vec_id") % 20 == 0).count() == 0
+
+
+def test_recall_of_nearest(spark):
+    rows = spark.read.parquet(f"{FOLDER}/embeddings.parquet")
+    table = rows.collect()
+    ids, vectors = np.array([r.vec_id for r in table]), np.array([r.embedding for r in table], float)
+    found: dict = {}
+    for r in nearest.nearest(rows, F.col("vec_id") % 20 == 0).collect():
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    hits = total = 0
+    for at in np.flatnonzero(ids % 20 == 0):
+        scores = vectors @ vectors[at]
+        scores[at] = -np.inf
+        true = set(ids[np.lexsort((ids, -scores))[:20]].tolist())
+        hits, total = hits + len(true & found[ids[at]]), total + 20
+    assert hits >= 0.9 * total
+
+
+def test_top_scores_are_exact(spark, odd_vectors):
+    got = toplists.top_scores(odd_vectors, F.col("vec_id") % 20 == 0).orderBy("query_id", "rank").collect()
+    one = 1024 * 1024 + 512 * 512
+    mine = [(r.vec_id, r.score) for r in got if r.query_id == 0]
+    assert mine == [(101, one), (102, one), (20, 0), (103, -one)]
+    assert [r.vec_id for r in got if r.query_id == 20] == [0, 101, 102, 103]
+    assert toplists.top_scores(odd_vectors.limit(0), F.col("vec_id") % 20 == 0).count() == 0
+    rows = spark.read.parquet(f"{FOLDER}/embeddings.parquet")
+    table = rows.collect()
+    ids, values = np.array([r.vec_id for r in table]), np.floor(np.array([r.embedding for r in table], float) * 1024)
+    result = toplists.top_scores(rows, F.col("vec_id") % 100 == 0).collect()
+    for at in np.flatnonzero(ids % 100 == 0):
+        scores = values @ values[at]
+        scores[at] = -np.inf
+        best = np.lexsort((ids, -scores))[:10]
+        want = [(i + 1, ids[b], scores[b]) for i, b in enumerate(best)]
+        assert sorted((r.rank, r.vec_id, r.score) for r in result if r.query_id == ids[at]) == want
+
+
+@pytest.fixture(scope="module")
+def odd_pages(spark):
+    ship(spark)
+    rows = [
+        (1, "http://a.org/1", "<article><h1>T</h1><p>x &amp; y</article><footer>f</footer>"),
+        (2, "http://a.org/2", "<article><h1>T</h1><p>x &amp; y</article><footer>f</footer>"),
+        (2, "http://a.org/2", "<article><h1>T</h1><p>x &amp; y</article><footer>f</footer>"),
+        (3, None, None),
+        (4, "bad\nurl", ""),
+        (5, "http://a.org/5", "<p>" + "long é " * 50_000),
+        (None, "http://a.org/6", "<p>no id"),
+    ]
+    return spark.createDataFrame([(*r, "x", 0) for r in rows], "page_id long, url string, html string, text string, frame int")
+
+
+def test_archive_round_trip(spark, odd_pages):
+    folder = shared_folder(spark, "warc-test")
+    got = archive.archive_pages(odd_pages, folder).collect()
+    pages = [r for r in odd_pages.collect() if r.page_id is not None]
+    assert sorted(r.page_id for r in got) == sorted(p.page_id for p in pages)
+    largest: dict = {}
+    for p in pages:
+        largest[p.html or ""] = max(p.page_id, largest.get(p.html or "", -1))
+    payloads = {p.page_id: p.html or "" for p in pages}
+    for r in got:
+        data = payloads[r.page_id].encode()
+        of = largest[payloads[r.page_id]]
+        want = (len(data), base64.b32encode(hashlib.sha1(data).digest()).decode())
+        assert (r.payload_bytes, r.payload_digest) == want
+        assert (r.record_type, r.refers_to) == (("response", None) if of == r.page_id else ("revisit", of))
+    files, root = pyarrow.fs.FileSystem.from_uri(folder if "://" in folder else f"file://{folder.removeprefix('file:')}")
+    names = [f.path for f in files.get_file_info(pyarrow.fs.FileSelector(root)) if f.path.endswith(".zst")]
+    whole = 0
+    for name in names:
+        reader = archive.BundleReader(files.open_input_file(name))
+        whole += sum(reader.frame(i).count(b"WARC/1.1\r\n") for i in range(len(reader.sizes)))
+    assert whole == len(got)
+    assert archive.archive_pages(odd_pages.limit(0)).count() == 0
+
+
+def test_extraction_of_odd_pages(odd_pages):
+    got = {r.page_id: (r.url, r.text, r.n_chars) for r in extract.extract_pages(odd_pages).collect()}
+    assert got[1][1:] == got[2][1:] == ("T\nx & y", 7)
+    assert got[3] == (None, "", 0) and got[4][1] == "" and got[None][1] == "no id"
+    assert got[5][1] == ("long é " * 50_000).strip()
+    assert extract.extract_pages(odd_pages.limit(0)).count() == 0
+
+
+def test_articles_equal_a_plain_cut(spark):
+    pages = spark.read.parquet(f"{FOLDER}/pages.parquet")
+    got = {r.page_id: r.text for r in extract.extract_pages(pages).collect()}
+    for p in pages.collect():
+        article = re.search(r"<article>(.*?)</article>", p.html, re.S)[1]
+        parts = [html.unescape(re.sub(r"<[^>]*>", "", x)) for x in re.split(r"</?p>|</?h1>|<br>", article)]
+        assert got[p.page_id] == "\n".join(x for x in (" ".join(part.split()) for part in parts) if x)
+
+
+def test_repeated_runs_of_a_host_go_where_no_main_part_is_named(spark):
+    ship(spark)
+    menu = "home news about contact imprint terms privacy help search login"
+    rows = [
+        (i, f"http://h.org/{i}", f"<div>{menu}</div><div>Own words of page {i}: {' '.join(f'w{i}n{k}' for k in range(20))}</div>")
+        for i in range(6)
+    ] + [(9, "http://other.org/", f"<div>{menu}</div>")]
+    got = {r.page_id: r.text for r in extract.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(menu not in got[i] and got[i].startswith(f"Own words of page {i}") for i in range(6))
+    assert got[9] == menu
+
+
+def test_roles():
+    page = (
+        "<body><header>h</header><main><header><h1>Head</h1></header><p>One<div class='related links'>r</div><p>Two<br>three"
+        "<section id=comments><p>c</section><form>f</form><script>if (a</p>) {}</script></main><aside>s</aside>"
+    )
+    assert [t for main, t in extract.blocks(page) if main] == ["Head", "One", "Two", "three"]

@@ -81,4 +81,56 @@ QUERIES: dict[str, Query] = {
     )
 }
 
-ORACLES: dict[str, str] = {}
+_TOP_SCORES = """
+WITH whole AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v FROM embeddings
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+  FROM whole q JOIN whole c ON q.vec_id <> c.vec_id
+  WHERE q.vec_id % 100 = 0
+)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM scored
+QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 10
+"""
+
+# Base 32: character i stands for bits 5i to 5i + 4, found in the hex digits 5i / 4 and the next.
+_ARCHIVE = """
+WITH paid AS (
+  SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS h FROM pages WHERE page_id IS NOT NULL
+), largest AS (SELECT h, max(page_id) AS m FROM paid GROUP BY h)
+SELECT page_id, CAST(octet_length(encode(payload)) AS BIGINT) AS payload_bytes,
+  array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(1 + (
+    (((strpos('0123456789abcdef', substr(h, CAST(1 + (5 * i) // 4 AS INTEGER), 1)) - 1) * 16
+      + strpos('0123456789abcdef', substr(h, CAST(2 + (5 * i) // 4 AS INTEGER), 1)) - 1) >> CAST(3 - (5 * i) % 4 AS INTEGER))
+    & 31) AS INTEGER), 1)), '') AS payload_digest,
+  CASE WHEN page_id = m THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> m THEN m END AS refers_to
+FROM paid JOIN largest USING (h)
+"""
+
+_NEAR_DUPLICATES = r"""
+WITH RECURSIVE worded AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w FROM documents
+), sets AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) >= 5
+    THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' '))
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE CAST([] AS VARCHAR[]) END) AS s FROM worded
+), parts AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets
+), common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, any_value(a.n) AS n, any_value(b.n) AS m, count(*) AS c
+  FROM parts a JOIN parts b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2
+), links AS (SELECT a, b FROM common WHERE 100 * c >= 75 * (n + m - c)
+), reached(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM sets UNION SELECT r.doc_id, l.b FROM reached r JOIN links l ON r.other = l.a
+), smallest AS (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM sets JOIN smallest USING (doc_id)
+"""
+
+ORACLES: dict[str, str] = {
+    "op4_top_scores": _TOP_SCORES,
+    "op6_archive_pages": _ARCHIVE,
+    "op7_near_duplicates": _NEAR_DUPLICATES,
+}

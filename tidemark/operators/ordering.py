@@ -11,7 +11,6 @@ from tidemark.durable import durable
 
 # monotonically_increasing_id: partition number above bit 33, row number in the partition below
 _PARTITION_BITS = 33
-_MAX_CLASSES = 1000
 
 
 def global_running(df: DataFrame, order_by: Sequence[Column | str], sums: Sequence[str] = ()) -> DataFrame:
@@ -111,13 +110,8 @@ def time_series_folds(df: DataFrame, order_by: Sequence[Column | str], folds: in
 
 def stratified_folds(df: DataFrame, label_col: str, id_col: str, folds: int = 5, seed: int = 42) -> DataFrame:
     """Add ``fold`` in 0..folds-1: every class is shuffled by a seeded hash and dealt out evenly."""
-    classes = df.groupBy(label_col).agg(F.count(F.lit(1)).alias("n")).limit(_MAX_CLASSES + 1).collect()
-    if len(classes) > _MAX_CLASSES:
-        raise ValueError(f"{label_col} has more than {_MAX_CLASSES} classes")
     placed = global_running(df, [F.asc(label_col), F.xxhash64(F.col(id_col), F.lit(seed)), F.asc(id_col)])
-    start, chain = 0, F.lit(0)
-    for row in sorted(classes, key=lambda r: (r[label_col] is not None, r[label_col])):
-        chain = F.when(F.col(label_col).eqNullSafe(F.lit(row[label_col])), start).otherwise(chain)
-        start += row["n"]
-    fold = F.pmod(F.col("position") - chain, F.lit(folds))
-    return placed.withColumn("fold", fold.cast("int")).drop("total_rows", "position")
+    starts = placed.groupBy(F.col(label_col).alias("_class")).agg(F.min("position").alias("_start"))
+    placed = placed.join(starts, F.col(label_col).eqNullSafe(F.col("_class")))
+    fold = F.pmod(F.col("position") - F.col("_start"), F.lit(folds))
+    return placed.withColumn("fold", fold.cast("int")).drop("total_rows", "position", "_class", "_start")

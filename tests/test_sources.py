@@ -90,13 +90,13 @@ def test_requests_from_json(spark, tmp_path):
     import json
 
     sample = {
-        "order_id": "order-001",
-        "order_purchase_timestamp": "2018-03-15T10:30:00",
-        "payment_value": 149.90,
-        "payment_installments": 3,
-        "order_item_count": 2,
-        "freight_value": 12.50,
-        "order_delivered_customer_date": "2018-03-22T14:00:00",
+        "order_id": "r-1",
+        "order_purchase_timestamp": "2018-02-20T08:15:00",
+        "payment_value": 64.25,
+        "payment_installments": 4,
+        "order_item_count": 3,
+        "freight_value": 7.75,
+        "order_delivered_customer_date": "2018-03-01T11:00:00",
     }
     asked = [
         {"request_id": "fine", "customer_unique_id": "c", "cutoff_date": "2018-07-01T00:00:00", "orders": [sample]},
@@ -116,5 +116,5 @@ def test_requests_from_json(spark, tmp_path):
     assert found["text for a number"]
     row = valid_requests(requests).first()
     assert row["cutoff_date"] == at("2018-07-01")
-    assert row["orders"][0]["order_purchase_timestamp"] == at("2018-03-15T10:30:00")
+    assert row["orders"][0]["order_purchase_timestamp"] == at("2018-02-20T08:15:00")
     assert row["orders"][0]["review_score"] is None

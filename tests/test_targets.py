@@ -47,6 +47,20 @@ def test_coinciding_edges_are_an_error(spark):
         targets.tier_edges(spends(spark, [2, 2, 2, 2, 2, 3]))
 
 
+@pytest.mark.parametrize("values", [[1, 2, 3, 3, 3, 3], [1, 1, 1, 1, 2, 3], [5]])
+def test_edge_on_the_smallest_or_largest_spend_is_an_error(spark, values):
+    with pytest.raises(ValueError, match="coincide"):
+        targets.tier_edges(spends(spark, values))
+
+
+def test_customers_that_tie_at_an_edge_share_the_lower_tier(spark):
+    long_tail = 0.1 + 0.2
+    values = [long_tail, long_tail, long_tail, 0.2, 1, 2, 3]
+    found = spends(spark, values)
+    tiers = targets.with_spend_tier(found, targets.tier_edges(found))
+    assert {r["spend_tier"] for r in tiers.filter(f"future_spend = {long_tail!r}D").collect()} == {0}
+
+
 def test_no_returner_is_an_error(spark):
     with pytest.raises(ValueError, match="returner"):
         targets.tier_edges(spends(spark, [0, 0]))

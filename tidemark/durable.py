@@ -46,6 +46,12 @@ def drop_folder(spark: SparkSession, path: str) -> None:
     jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jvm_path, True)
 
 
+def is_written(spark: SparkSession, path: str) -> bool:
+    """Whether a table was written to ``path`` to its end."""
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path)
+
+
 def durable(df: DataFrame) -> DataFrame:
     """``df`` computed once, written as parquet to the shared folder, and read from there.
 

@@ -175,18 +175,20 @@ def tune_model(
     drawn = [random_params(space or SearchSpace(), rng, seed) for _ in range(trials)]
     numbered = _numbered(train, label_col, objective, folds, order_by, seed).cache()
     sides = _sides(numbered, objective, folds)
-    scorable = [pair for pair in sides if _has_classes(*pair, label_col, objective)]
-    if not scorable:
-        raise ValueError("no fold holds both classes")
 
     @inheritable_thread_target(spark)
     def judge(params: TreeParams) -> float:
         scores = [_fold_score(fit, validate, features, label_col, params, objective) for fit, validate in scorable]
         return sum(scores) / len(scores)
 
-    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, trials))) as pool:
-        means = list(pool.map(judge, drawn))
-    numbered.unpersist()
+    try:
+        scorable = [pair for pair in sides if _has_classes(*pair, label_col, objective)]
+        if not scorable:
+            raise ValueError("no fold holds both classes")
+        with ThreadPoolExecutor(max_workers=max(1, min(parallelism, trials))) as pool:
+            means = list(pool.map(judge, drawn))
+    finally:
+        numbered.unpersist()
     best = max(range(trials), key=lambda i: (means[i], -i))
     rows = [
         (number, *asdict(params).values(), mean, len(sides) - len(scorable), number == best)

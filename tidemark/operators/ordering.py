@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from fractions import Fraction
+from math import floor
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -44,27 +46,28 @@ def global_running(df: DataFrame, order_by: Sequence[Column | str], sums: Sequen
     )
 
 
-def exact_quantiles(df: DataFrame, column: str, shares: Sequence[float]) -> list[float]:
+def exact_quantiles(df: DataFrame, column: str, shares: Sequence[float | Fraction]) -> list[float]:
     """Linearly interpolated quantiles of the non-null values; empty if there are none.
 
     Values are counted first, so many equal values are one row, and then placed by running count. Only the two
-    neighbours of each quantile reach the driver.
+    neighbours of each quantile reach the driver. A quantile that falls on a value, or between two equal ones, is that
+    value itself; with ``Fraction`` shares the places are exact.
     """
     values = df.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("n"))
     placed = global_running(values, ["value"], ["n"])
     sized = placed.agg(F.max("total_n")).first()[0]
     if not sized:
         return []
-    spots = [(sized - 1) * share for share in shares]
-    wanted = sorted({int(spot) for spot in spots} | {min(int(spot) + 1, sized - 1) for spot in spots})
+    spots = [(sized - 1) * Fraction(share) for share in shares]
+    wanted = sorted({floor(spot) for spot in spots} | {min(floor(spot) + 1, sized - 1) for spot in spots})
     covers = [(F.col("running_n") > rank) & (F.col("running_n") - F.col("n") <= rank) for rank in wanted]
     at = placed.agg(*[F.max(F.when(cover, F.col("value"))).alias(f"v{i}") for i, cover in enumerate(covers)]).first()
     value_at = dict(zip(wanted, at, strict=True))
     found = []
     for spot in spots:
-        low = int(spot)
+        low = floor(spot)
         below, above = value_at[low], value_at[min(low + 1, sized - 1)]
-        found.append(float(below + (above - below) * (spot - low)))
+        found.append(float(below if spot == low or below == above else below + (above - below) * float(spot - low)))
     return found
 
 
@@ -109,8 +112,9 @@ def time_series_folds(df: DataFrame, order_by: Sequence[Column | str], folds: in
 
 
 def stratified_folds(df: DataFrame, label_col: str, id_col: str, folds: int = 5, seed: int = 42) -> DataFrame:
-    """Add ``fold`` in 0..folds-1: every class is shuffled by a seeded hash and dealt out evenly."""
-    placed = global_running(df, [F.asc(label_col), F.xxhash64(F.col(id_col), F.lit(seed)), F.asc(id_col)])
+    """Add ``fold`` in 0..folds-1: every class is shuffled by a seeded digest of the id and dealt out evenly."""
+    shuffled = F.md5(F.concat(F.lit(f"{seed}:"), F.col(id_col).cast("string")))
+    placed = global_running(df, [F.asc(label_col), shuffled, F.asc(id_col)])
     starts = placed.groupBy(F.col(label_col).alias("_class")).agg(F.min("position").alias("_start"))
     placed = placed.join(starts, F.col(label_col).eqNullSafe(F.col("_class")))
     fold = F.pmod(F.col("position") - F.col("_start"), F.lit(folds))

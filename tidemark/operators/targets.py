@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime
+from fractions import Fraction
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -46,19 +47,22 @@ def customer_targets(
 
 
 def tier_edges(targets: DataFrame, tiers: int = 3, approximate: bool = False) -> list[float]:
-    """Inner edges that cut the returners' spend into equally filled tiers."""
-    shares = [i / tiers for i in range(1, tiers)]
+    """Inner edges that cut the returners' spend into equally filled tiers.
+
+    An edge that coincides with another one, or with the smallest or largest spend, is an error: a tier would be empty
+    or hold customers of two.
+    """
+    shares = [Fraction(i, tiers) for i in range(tiers + 1)]
     returners = targets.filter("will_return = 1")
     if approximate:
-        edges = returners.agg(F.percentile_approx("future_spend", shares, 100_000)).first()[0]
+        edges = returners.agg(F.percentile_approx("future_spend", [float(s) for s in shares], 100_000)).first()[0]
     else:
         edges = exact_quantiles(returners, "future_spend", shares)
     if not edges:
         raise ValueError("spend tiers need at least one returner")
-    rounded = [round(edge, 9) for edge in edges]
-    if len(set(rounded)) < len(rounded):
-        raise ValueError(f"spend tiers coincide: {rounded}")
-    return rounded
+    if len(set(edges)) < len(edges):
+        raise ValueError(f"spend tiers coincide: {edges}")
+    return edges[1:-1]
 
 
 def with_spend_tier(targets: DataFrame, edges: list[float]) -> DataFrame:

@@ -175,10 +175,20 @@ targets AS (
     SELECT k.customer_unique_id, coalesce(spend, 0.0) AS future_spend, CAST(coalesce(spend, 0.0) > 0 AS INTEGER) AS will_return
     FROM (SELECT DISTINCT customer_unique_id FROM past) k LEFT JOIN future USING (customer_unique_id)
 ),
-edges AS (
-    SELECT round(quantile_cont(future_spend, 1.0 / 3), 9) AS low, round(quantile_cont(future_spend, 2.0 / 3), 9) AS high
+spends AS (
+    SELECT future_spend, row_number() OVER (ORDER BY future_spend) - 1 AS place, count(*) OVER () - 1 AS last
     FROM targets WHERE will_return = 1
 ),
+neighbours AS (
+    SELECT tile, any_value(last) * tile % 3 AS parts, max(future_spend) FILTER (place = last * tile // 3) AS below,
+        max(future_spend) FILTER (place = least(last * tile // 3 + 1, last)) AS above
+    FROM spends, (SELECT unnest([1, 2]) AS tile) GROUP BY tile
+),
+cuts AS (
+    SELECT tile, CASE WHEN parts = 0 OR below = above THEN below ELSE below + (above - below) * (parts / 3.0::DOUBLE) END AS edge
+    FROM neighbours
+),
+edges AS (SELECT max(edge) FILTER (tile = 1) AS low, max(edge) FILTER (tile = 2) AS high FROM cuts),
 tiered AS (
     SELECT targets.*, CASE WHEN will_return = 0 THEN -1 WHEN future_spend <= low THEN 0 WHEN future_spend <= high THEN 1
         ELSE 2 END AS spend_tier
@@ -338,6 +348,11 @@ def oracle_queries() -> dict[str, str]:
                     AS INTEGER) AS fold
             FROM (SELECT *, row_number() OVER (ORDER BY first_order_date, customer_unique_id) - 1 AS position,
                 count(*) OVER () AS n FROM first_orders)""",
+        "stratified_folds": f"""
+            SELECT customer_unique_id, {_r("future_spend")} AS future_spend, will_return, spend_tier,
+                CAST((row_number() OVER (PARTITION BY spend_tier ORDER BY md5(concat('42:', customer_unique_id)), customer_unique_id)
+                    - 1) % 3 AS INTEGER) AS fold
+            FROM tiered WHERE will_return = 1""",
         "stratified_fold_sizes": """
             SELECT spend_tier, CAST(fold AS INTEGER) AS fold, count(*) AS customers FROM (
                 SELECT spend_tier, (row_number() OVER (PARTITION BY spend_tier) - 1) % 3 AS fold

@@ -283,6 +283,7 @@ SQL_CHECKED: dict[str, Query] = {
         chronological_split,
         train_test_features,
         time_series_folds,
+        stratified_folds,
         stratified_fold_sizes,
         column_profile,
         class_balance,
@@ -330,8 +331,9 @@ def quick_artifact(known: DataFrame) -> Artifact:
 
 def select_features(spark: SparkSession, folder: str) -> DataFrame:
     train = model_rows(base_rows(spark, folder)).filter("split = 'train'")
-    scout = modeling.TreeParams(SHORT_SEARCH.scout_trees, SHORT_SEARCH.scout_depth, SHORT_SEARCH.scout_step_size)
-    return attribution.rank_features(train, FEATURES, "will_return", 15, scout)
+    settings = Settings()
+    scout = modeling.TreeParams(settings.scout_trees, settings.scout_depth, settings.scout_step_size)
+    return attribution.rank_features(train, FEATURES, "will_return", settings.stage1_top_n, scout)
 
 
 def tune_model(spark: SparkSession, folder: str) -> DataFrame:
@@ -359,5 +361,5 @@ def score_requests(spark: SparkSession, folder: str) -> DataFrame:
 
 ROWS_ONLY: dict[str, Query] = {
     query.__name__: query
-    for query in (stratified_folds, select_features, tune_model, train_two_stage, score_customers, score_requests)
+    for query in (select_features, tune_model, train_two_stage, score_customers, score_requests)
 }

@@ -11,8 +11,6 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.sources.readers import spread
-
 
 def _interval(days: Column | None = None, hours: Column | None = None) -> Column:
     zero = F.lit(0)
@@ -34,14 +32,9 @@ _STAR = {
 }
 
 
-# Tables that grow with the number of orders.
-_FACTS = frozenset({"orders", "lineitem"})
-
-
 def star_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """One star-schema table; a fact table is spread over the cores if its file has fewer splits than there are cores."""
-    scan = spark.read.schema(_STAR[name]).parquet(f"{folder}/{name}.parquet")
-    return spread(scan) if name in _FACTS else scan
+    """One star-schema table."""
+    return spark.read.schema(_STAR[name]).parquet(f"{folder}/{name}.parquet")
 
 
 class StarCommerce:

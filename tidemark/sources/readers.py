@@ -29,17 +29,6 @@ class CommerceTables:
     sellers: DataFrame | None = None
 
 
-def spread(scan: DataFrame) -> DataFrame:
-    """The scan dealt out over all cores if it has fewer splits than cores, else the scan as it is.
-
-    A file with a single row group is one split, which would run all work up to the first shuffle in one task.
-    Input of many splits is never shuffled here. Rows go by the hash of all their columns: a plain
-    ``repartition(n)`` would sort them first.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores, *scan.columns) if scan.rdd.getNumPartitions() < cores else scan
-
-
 def _with_declared(df: DataFrame, declared: dict[str, str]) -> DataFrame:
     """Add declared columns that a file does not have, as NULL of the declared type."""
     missing = {name: F.lit(None).cast(kind) for name, kind in declared.items() if name not in df.columns}

@@ -7,6 +7,7 @@ import random
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass
+from itertools import chain
 
 from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
@@ -95,14 +96,23 @@ def train_model(
     class, because Spark's boosting is binary; see ``predicted_class``.
     """
     rows = aligned(train, features, [label_col])
-    stages = encoder_stages(rows, features, prefix)
+    stages = [*encoder_stages(rows, features, prefix), *classifiers(params, label_col, objective, prefix, classes)]
+    return Pipeline(stages=stages).fit(with_class_marks(rows, label_col, objective, classes))
+
+
+def with_class_marks(rows: DataFrame, label_col: str, objective: str, classes: int = 3) -> DataFrame:
+    """Add what the classifiers learn from: a mark per class (``multi``), or the row weight (``binary``)."""
     if objective == "multi":
-        marks = {f"_is_{c}": (F.col(label_col) == c).cast("double") for c in range(classes)}
-        stages += [boosted_trees(params, f"_is_{c}", f"{prefix}_{c}", vector_of=prefix) for c in range(classes)]
-        return Pipeline(stages=stages).fit(rows.withColumns(marks))
+        return rows.withColumns({f"_is_{c}": (F.col(label_col) == c).cast("double") for c in range(classes)})
     weight = class_balance(rows, label_col).first()["positive_weight"]
-    weighted = rows.withColumn(WEIGHT, F.when(F.col(label_col) == 1, F.lit(weight)).otherwise(1.0))
-    return Pipeline(stages=[*stages, boosted_trees(params, label_col, prefix, WEIGHT)]).fit(weighted)
+    return rows.withColumn(WEIGHT, F.when(F.col(label_col) == 1, F.lit(weight)).otherwise(1.0))
+
+
+def classifiers(params: TreeParams, label_col: str, objective: str, prefix: str, classes: int = 3) -> list[GBTClassifier]:
+    """The classifiers of an objective over ``<prefix>_features``."""
+    if objective == "multi":
+        return [boosted_trees(params, f"_is_{c}", f"{prefix}_{c}", vector_of=prefix) for c in range(classes)]
+    return [boosted_trees(params, label_col, prefix, WEIGHT)]
 
 
 def positive_probability(prefix: str = "s1") -> Column:
@@ -142,14 +152,25 @@ def _sides(numbered: DataFrame, objective: str, folds: int) -> list[tuple[DataFr
     return [(numbered.filter(fold < i), numbered.filter(fold == i)) for i in range(1, folds + 1)]
 
 
-def _fold_score(fit, validate, features, label_col, params, objective) -> float:
-    model = train_model(fit, features, label_col, params, objective, "cv")
-    scored = model.transform(aligned(validate, features, [label_col]))
+def _encoded_fold(fit: DataFrame, validate: DataFrame, features, label_col, objective) -> tuple[DataFrame, DataFrame]:
+    """Both sides of a fold as labels and cached vectors. Medians and weights depend on the fold only, not on a trial."""
+    rows = aligned(fit, features, [label_col])
+    encoder = PipelineModel(encoder_stages(rows, features, "cv"))
+    marked = with_class_marks(rows, label_col, objective)
+    marks = [c for c in marked.columns if c not in features]
+    learned = encoder.transform(marked).select(*marks, "cv_features")
+    judged = encoder.transform(aligned(validate, features, [label_col])).select(label_col, "cv_features")
+    return learned.cache(), judged.cache()
+
+
+def _fold_score(learned: DataFrame, judged: DataFrame, label_col, params, objective) -> float:
+    model = Pipeline(stages=classifiers(params, label_col, objective, "cv")).fit(learned)
+    scored = model.transform(judged)
     if objective == "multi":
         called = scored.select(F.col(label_col).alias("label"), predicted_class("cv").alias("prediction"))
         return tier_report(called).first()["weighted_f1"]
-    judged = scored.select(F.col(label_col).alias("label"), positive_probability("cv").alias("score"))
-    return average_precision(judged).first()["average_precision"]
+    scores = scored.select(F.col(label_col).alias("label"), positive_probability("cv").alias("score"))
+    return average_precision(scores).first()["average_precision"]
 
 
 def tune_model(
@@ -167,7 +188,7 @@ def tune_model(
     """Seeded random search; returns the best parameters and one row per trial.
 
     ``binary`` is judged by average precision on later customers than it was trained on, ``multi`` by weighted F1 on
-    stratified folds. Trials run as concurrent Spark jobs. A fold without both classes on both sides has no average
+    stratified folds. Each fold is encoded once for all trials. Trials run as concurrent Spark jobs. A fold without both classes on both sides has no average
     precision; it is left out and counted in ``skipped_folds``.
     """
     spark = train.sparkSession
@@ -175,20 +196,24 @@ def tune_model(
     drawn = [random_params(space or SearchSpace(), rng, seed) for _ in range(trials)]
     numbered = _numbered(train, label_col, objective, folds, order_by, seed).cache()
     sides = _sides(numbered, objective, folds)
+    encoded = []
 
     @inheritable_thread_target(spark)
     def judge(params: TreeParams) -> float:
-        scores = [_fold_score(fit, validate, features, label_col, params, objective) for fit, validate in scorable]
+        scores = [_fold_score(learned, judged, label_col, params, objective) for learned, judged in encoded]
         return sum(scores) / len(scores)
 
     try:
         scorable = [pair for pair in sides if _has_classes(*pair, label_col, objective)]
         if not scorable:
             raise ValueError("no fold holds both classes")
+        for fit, validate in scorable:
+            encoded.append(_encoded_fold(fit, validate, features, label_col, objective))
         with ThreadPoolExecutor(max_workers=max(1, min(parallelism, trials))) as pool:
             means = list(pool.map(judge, drawn))
     finally:
-        numbered.unpersist()
+        for cached in (numbered, *chain.from_iterable(encoded)):
+            cached.unpersist()
     best = max(range(trials), key=lambda i: (means[i], -i))
     rows = [
         (number, *asdict(params).values(), mean, len(sides) - len(scorable), number == best)

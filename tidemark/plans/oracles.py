@@ -314,6 +314,23 @@ def _profile_rows() -> str:
     )
 
 
+# Columns of the base table.
+_BASE_COLUMNS = (
+    "order_id customer_id order_status order_purchase_timestamp order_delivered_customer_date "
+    "order_estimated_delivery_date customer_unique_id customer_state total_price total_freight item_count unique_sellers "
+    "unique_categories top_category payment_value max_installments has_voucher is_credit_card is_boleto review_score "
+    "review_comment_length review_creation_date"
+).split()
+
+
+def _dropped_rows() -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{name}' AS \"column\" FROM base HAVING count(DISTINCT {name}) <= 1 OR "
+        f"avg(CASE WHEN {name} IS NULL THEN 1.0 ELSE 0.0 END) > 0.99"
+        for name in _BASE_COLUMNS
+    )
+
+
 def oracle_queries() -> dict[str, str]:
     rfm = "monetary avg_order_value"
     behavior = "avg_review_score avg_items_per_order avg_freight_ratio pct_installments"
@@ -325,6 +342,17 @@ def oracle_queries() -> dict[str, str]:
         "payments_per_order": _rounded("order_payments", _BASE_DOUBLES[2:3]),
         "latest_review_per_order": _rounded("order_reviews", _BASE_DOUBLES[3:]),
         "base_table": _rounded("base", _BASE_DOUBLES),
+        "csv_base_table": "SELECT * REPLACE (CAST(order_id AS VARCHAR) AS order_id, CAST(customer_id AS VARCHAR) AS customer_id, "
+        "CAST(customer_unique_id AS VARCHAR) AS customer_unique_id) FROM (" + _rounded("base", _BASE_DOUBLES) + ")",
+        "base_table_months": f"""
+            SELECT strftime(date_trunc('month', order_purchase_timestamp), '%Y-%m-%d') AS month, count(*) AS orders,
+                {_r("sum(payment_value)")} AS spend
+            FROM base WHERE order_purchase_timestamp < {_CUTOFF} GROUP BY 1""",
+        "base_table_report": """
+            SELECT count(*) AS orders, count(*) FILTER (customer_unique_id IS NULL) AS without_customer,
+                count(DISTINCT customer_unique_id) AS customers
+            FROM base""",
+        "dropped_columns": _dropped_rows(),
     }
     on_customers = {
         "rfm_features": _rounded("rfm", _of(rfm)),
@@ -372,6 +400,23 @@ def oracle_queries() -> dict[str, str]:
             SELECT round(pr_auc, 4) AS pr_auc, round(roc_auc, 4) AS roc_auc, round(tp / called, 4) AS precision,
                 round(tp / p, 4) AS recall, round(threshold, 4) AS threshold
             FROM summary, chosen""",
+        "split_report": f"""
+            SELECT split, count(*) AS customers, {_r("avg(will_return)")} AS return_rate FROM split GROUP BY split""",
+        "run_log": """
+            SELECT 'report' AS run_name, metric, value FROM (
+                UNPIVOT (SELECT round(pr_auc, 4) AS pr_auc, round(roc_auc, 4) AS roc_auc, round(tp / called, 4) AS precision,
+                    round(tp / p, 4) AS recall, round(threshold, 4) AS threshold FROM summary, chosen)
+                ON COLUMNS(*) INTO NAME metric VALUE value)""",
+        "aligned_features": f"""
+            SELECT customer_unique_id, CAST(recency AS DOUBLE) AS recency, CAST(NULL AS DOUBLE) AS not_a_feature,
+                CAST(has_voucher AS DOUBLE) AS has_voucher, {_r("monetary")} AS monetary,
+                {_r("avg_order_gap_days")} AS avg_order_gap_days
+            FROM matrix""",
+        "customer_segments": """
+            SELECT customer_unique_id, CASE WHEN customer_unique_id % 1000 < 500 THEN 'Non-returner'
+                ELSE ['Low', 'Mid', 'High'][customer_unique_id % 3 + 1] END AS customer_segment
+            FROM targets""",
+        "shapley_additivity": "SELECT count(*) AS rows, CAST(0 AS BIGINT) AS violations FROM targets",
         "confusion": "SELECT label, prediction, count(*) AS rows FROM guessed GROUP BY label, prediction",
         "tier_report": """
             SELECT round(sum(f1 * support) / sum(support), 4) AS weighted_f1, round(max(f1) FILTER (tier = 0), 4) AS f1_low,
@@ -380,12 +425,21 @@ def oracle_queries() -> dict[str, str]:
     }
     on_requests = {
         "validate_requests": "SELECT * FROM checked",
+        "stream_rejections": "SELECT * FROM checked WHERE violations <> ''",
+        "json_requests": "SELECT * FROM checked",
         "rejected_requests": "SELECT * FROM checked WHERE violations <> ''",
         "requests_to_orders": _rounded("request_orders", ("payment_value", "total_price", "total_freight", "review_score")),
     }
     keys = "request_id, customer_unique_id, cutoff_date"
     request_matrix = _feature_ctes("request_orders", keys, "cutoff_date", "asked_", within="request_id")
     return {
+        "scored_grain": f"""
+            SELECT 'customers' AS kind, known AS responses, known AS askers, CAST(0 AS BIGINT) AS impossible,
+                CAST(0 AS BIGINT) AS missing
+            FROM (WITH {_CUSTOMERS} SELECT count(*) AS known FROM targets)
+            UNION ALL
+            SELECT 'requests', valid, valid, 0, 0
+            FROM (WITH {_REQUESTS} SELECT count(*) AS valid FROM checked WHERE violations = '')""",
         **{name: f"WITH {_TABLES} {sql}" for name, sql in on_tables.items()},
         **{name: f"WITH {_CUSTOMERS} {sql}" for name, sql in on_customers.items()},
         **{name: f"WITH {_REQUESTS} {sql}" for name, sql in on_requests.items()},

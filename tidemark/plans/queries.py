@@ -320,12 +320,11 @@ def quick_artifact(known: DataFrame) -> Artifact:
     """Both stages on all features, without selection or search."""
     counts = training.training_counts(known, CUTOFF)
     rows = model_rows(known, counts)
-    train, test = rows.filter("split = 'train'"), rows.filter("split = 'test'")
+    train = rows.filter("split = 'train'")
     params = modeling.TreeParams(trees=3, depth=4)
     stage1 = modeling.train_model(train, FEATURES, "will_return", params)
     stage2 = modeling.train_model(train.filter("will_return = 1"), FEATURES, "spend_tier", params, "multi", "s2")
-    judged = training.scored_stage1(stage1, test, list(FEATURES))
-    threshold = metrics.binary_report(judged).first()["threshold"]
+    threshold = training.validation_threshold(train, list(FEATURES), params, SHORT_SEARCH)
     return Artifact(stage1, stage2, list(FEATURES), list(FEATURES), threshold, counts)
 
 

@@ -22,6 +22,7 @@ from tidemark.operators.modeling import (
 )
 from tidemark.operators.profile import prepare_data
 from tidemark.plans.artifact import Artifact
+from tidemark.plans.reporting import split_report
 from tidemark.settings import FEATURES, Settings
 
 CUSTOMER = feats.CUSTOMER
@@ -58,7 +59,7 @@ def scored_stage1(model, rows: DataFrame, used: list[str]) -> DataFrame:
     return scored.select(CUSTOMER, F.col("will_return").alias("label"), positive_probability("s1").alias("score"))
 
 
-def _threshold(train: DataFrame, used: list[str], params: TreeParams, settings: Settings) -> float:
+def validation_threshold(train: DataFrame, used: list[str], params: TreeParams, settings: Settings) -> float:
     """Best F-beta threshold on the newest training customers, scored by a model of the earlier ones."""
     placed = ordering.global_running(train, ["first_order_date", CUSTOMER])
     early = F.col("position") < F.floor(F.col("total_rows") * F.lit(1 - settings.validation_fraction))
@@ -93,7 +94,7 @@ def train_two_stage(
     params1, trials1 = tune_model(train, used1, "will_return", "binary", folds=settings.stage1_folds, **search)
     model1 = train_model(train, used1, "will_return", params1)
     scored = scored_stage1(model1, test, used1)
-    threshold = None if settings.threshold_on == "test" else _threshold(train, used1, params1, settings)
+    threshold = None if settings.threshold_on == "test" else validation_threshold(train, used1, params1, settings)
     report1 = metrics.binary_report(scored, threshold, settings.beta).first().asDict()
 
     returners, returners_test = train.filter("will_return = 1"), test.filter("will_return = 1")
@@ -109,6 +110,9 @@ def train_two_stage(
     )
     report2 = metrics.tier_report(called).first().asDict()
 
+    sides = {
+        f"{side['split']}_{fact}": side[fact] for side in split_report(table).collect() for fact in ("customers", "return_rate")
+    }
     artifact = Artifact(model1, model2, used1, used2, report1["threshold"], counts)
     return Trained(
         artifact=artifact,
@@ -120,6 +124,7 @@ def train_two_stage(
             "cv_folds": settings.stage1_folds,
             "stage1_top_n": len(used1),
             "stage2_top_n": len(used2),
+            **sides,
             "s1_dropped": ",".join(dropped),
             "s2_dropped": ",".join(dropped2),
             **{f"s1_{name}": value for name, value in asdict(params1).items()},

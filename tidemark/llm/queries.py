@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import archive, extract, language, licenses, mixing, nearest, neardup, pieces, sharding, toplists
+from tidemark.llm import (
+    archive,
+    extract,
+    language,
+    licenses,
+    linededup,
+    mixing,
+    neardup,
+    nearest,
+    periodicity,
+    pieces,
+    sharding,
+    toplists,
+    whitening,
+)
 from tidemark.llm.shipping import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,6 +79,18 @@ def op10_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(_table(spark, folder, "documents"))
 
 
+def op11_drop_repeated_lines(spark: SparkSession, folder: str) -> DataFrame:
+    return linededup.line_report(_table(spark, folder, "documents"))
+
+
+def op12_whiten_embeddings(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whitening_report(_table(spark, folder, "embeddings"))
+
+
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    return periodicity.run_report(_table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -78,6 +104,9 @@ QUERIES: dict[str, Query] = {
         op8_piece_tokens,
         op9_extract_pages,
         op10_mix_sources,
+        op11_drop_repeated_lines,
+        op12_whiten_embeddings,
+        op13_periodic_runs,
     )
 }
 
@@ -129,7 +158,26 @@ SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id, doc_id = comp
 FROM sets JOIN smallest USING (doc_id)
 """
 
+_REPEATED_LINES = r"""
+WITH split AS (
+  SELECT doc_id, row_number() OVER () AS r, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents
+), lines AS (
+  SELECT doc_id, r, unnest(ls) AS line, generate_subscripts(ls, 1) AS i FROM split
+), keyed AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k FROM lines
+), repeated AS (
+  SELECT k, min(doc_id) AS first FROM keyed WHERE length(k) >= 10 GROUP BY k HAVING count(DISTINCT doc_id) >= 2
+), marked AS (
+  SELECT keyed.*, coalesce(doc_id <> first, false) AS gone FROM keyed LEFT JOIN repeated ON keyed.k = repeated.k
+)
+SELECT doc_id, count(*) AS n_lines, CAST(count(*) FILTER (gone) AS BIGINT) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY doc_id, r
+"""
+
 ORACLES: dict[str, str] = {
+    "op11_drop_repeated_lines": _REPEATED_LINES,
     "op4_top_scores": _TOP_SCORES,
     "op6_archive_pages": _ARCHIVE,
     "op7_near_duplicates": _NEAR_DUPLICATES,

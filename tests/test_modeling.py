@@ -16,7 +16,7 @@ from tidemark.plans.scoring import score_customers, score_requests
 from tidemark.plans.training import train_two_stage
 from tidemark.settings import FEATURES, SearchSpace, Settings
 from tidemark.sources.schemas import REQUEST_SCHEMA
-from tidemark.streaming import request_stream, score_stream
+from tidemark.streaming import read_stream_output, request_stream, score_stream
 
 SMALL = TreeParams(trees=3, depth=3, step_size=0.3)
 
@@ -210,6 +210,54 @@ def test_stream_equals_batch(spark, asked, artifact, tmp_path):
     assert sorted(refused.collect()) == sorted(rejected.collect())
 
 
+def test_a_batch_that_failed_between_its_outputs_is_not_read(spark, asked, artifact, tmp_path, monkeypatch):
+    from tidemark.streaming import scoring
+
+    asked.write.json(f"{tmp_path}/in")
+    sink, state = f"{tmp_path}/out", f"{tmp_path}/state"
+
+    def broken(requests, artifact):
+        scored, _ = score_requests(requests, artifact)
+        return scored, requests.select(F.raise_error(F.lit("lost")).alias("x"))
+
+    def run():
+        stream = request_stream(spark, f"{tmp_path}/in")
+        score_stream(stream, artifact, sink, state).trigger(availableNow=True).start().awaitTermination()
+
+    monkeypatch.setattr(scoring, "score_requests", broken)
+    with pytest.raises(Exception, match="lost"):
+        run()
+    assert spark.read.parquet(f"{sink}/scored").count() == 2  # the first output is there, but no record of its batch
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        read_stream_output(spark, sink, "scored")
+    monkeypatch.undo()
+    run()
+    scored, rejected = score_requests(asked, artifact)
+    assert sorted(read_stream_output(spark, sink, "scored").drop("batch").collect()) == sorted(scored.collect())
+    assert sorted(read_stream_output(spark, sink, "rejected").drop("batch").collect()) == sorted(rejected.collect())
+
+
+def test_a_committed_batch_is_not_written_again(spark, asked, artifact, tmp_path):
+    import os
+
+    asked.write.json(f"{tmp_path}/in")
+
+    def run(state):
+        stream = request_stream(spark, f"{tmp_path}/in")
+        writer = score_stream(stream, artifact, f"{tmp_path}/out", f"{tmp_path}/{state}")
+        writer.trigger(availableNow=True).start().awaitTermination()
+
+    run("state")
+    written = {f: os.stat(f).st_mtime_ns for f in spark.read.parquet(f"{tmp_path}/out/scored").inputFiles() for f in [f.removeprefix("file://")]}
+    for file in ("0", ".0.crc"):
+        os.remove(f"{tmp_path}/state/commits/{file}")  # as if the query had been lost before it noted its progress
+    run("state")
+    assert {f: os.stat(f).st_mtime_ns for f in written} == written
+    assert read_stream_output(spark, f"{tmp_path}/out", "scored").count() == 2
+    with pytest.raises(Exception, match="another query"):
+        run("other")  # a query of its own may not hide behind the batch numbers of the first
+
+
 def test_run_log_appends(spark, tmp_path):
     path = f"{tmp_path}/runs"
     log_run(spark, path, "first", {"n_trials": 2}, {"s1_pr_auc": 0.5, "s1_recall": None})

@@ -7,10 +7,22 @@ from compare import connect, differences
 
 import __spark_entry__ as entry
 from tidemark.plans import queries
+from tidemark.settings import SearchSpace, Settings
 
 FOLDER = "/root/testdata/sf0.001"
 
 
+@pytest.fixture(scope="module", autouse=True)
+def short_search():
+    """The tests train on a handful of trees; what is checked of the models holds for any."""
+    before = queries.SEARCH
+    space = SearchSpace(trees=(2, 4), depth=(3, 4))
+    queries.SEARCH = Settings(trials=2, stage1_folds=2, stage2_folds=2, scout_trees=5, space=space)
+    yield
+    queries.SEARCH = before
+
+
+
 @pytest.fixture(scope="module")
 def oracle():
     return connect(FOLDER)
@@ -51,8 +63,11 @@ def test_features_need_one_shuffle_per_branch(stored):
     text = plan(features.feature_matrix(stored, queries.CUTOFF))
     assert "CartesianProduct" not in text and "NestedLoop" not in text and "Python" not in text
     assert "SinglePartition" not in text
-    # aggregates, gaps (per day, then per customer), states, and the state counts; the joins add none
-    assert text.count("Exchange hashpartitioning(customer_unique_id") <= 5
+    # the states of a day, which were then merged per customer and stored, are not computed again
+    assert text.count("Exchange hashpartitioning(customer_unique_id") == 0
+    text = plan(features.feature_numbers(stored, queries.CUTOFF))
+    assert text.count("FileScan") == 1
+    assert text.count("Exchange hashpartitioning(customer_unique_id") == 2  # by customer and day, then by customer
 
 
 def test_targets_are_one_aggregation(stored):

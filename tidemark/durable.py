@@ -60,3 +60,20 @@ def durable(df: DataFrame) -> DataFrame:
     path = shared_folder(df.sparkSession, "durable")
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def bucketed(df: DataFrame, column: str, sort_by: list[str], buckets: int, path: str | None = None) -> DataFrame:
+    """``df`` written as parquet in ``buckets`` buckets of ``column``, each file sorted by ``sort_by``, and read from there.
+
+    Steps that need the rows of a value of ``column`` together find them together and shuffle nothing. The table is named in
+    the catalog only while its plan is made; ``path`` is a new folder under the shared folder if none is given.
+    """
+    spark = df.sparkSession
+    path = path or shared_folder(spark, "bucketed")
+    name = f"tidemark_{uuid.uuid4().hex}"
+    writer = df.write.format("parquet").mode("overwrite").bucketBy(buckets, column).sortBy(*sort_by)
+    writer.option("path", path).saveAsTable(name)
+    try:
+        return spark.table(name)
+    finally:
+        spark.sql(f"DROP TABLE {name}")  # its files stay, because it was given a path

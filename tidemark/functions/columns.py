@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import date, datetime
+from decimal import Decimal
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -40,6 +41,23 @@ def whole_days(later: Column | str, earlier: Column | str) -> Column:
     return shifted - F.lit(_SHIFT_DAYS)
 
 
+def micros_since_year_1(moment: Column | str) -> Column:
+    """Microseconds from the first day of year 1 as a long, for years 1 to 9999: below 10^18, and free of time zones."""
+    at = _col(moment)
+    days = F.datediff(at.cast("date"), F.lit("0001-01-01").cast("date")).cast("long")
+    seconds = (days * 24 + F.hour(at)) * 3600 + F.minute(at) * 60
+    return seconds * 1_000_000 + (F.extract(F.lit("SECOND"), at) * 1_000_000).cast("long")
+
+
+def packed(high: Column, low: Column, digits: int) -> Column:
+    """high * 10^digits + low as one decimal of 38 digits, for 0 <= low < 10^digits.
+
+    Orders like the pair, but has a fixed width, so that an aggregate ordered by it stays a hash aggregate.
+    """
+    scale = F.lit(Decimal(10**digits)).cast(f"decimal({digits + 1},0)")
+    return (high.cast(f"decimal({38 - digits},0)") * scale + low.cast(f"decimal({digits},0)")).cast("decimal(38,0)")
+
+
 def sum_or_zero(value: Column | str) -> Column:
     """Sum that is 0.0 when a group has no known value. For use inside ``agg`` only."""
     return F.coalesce(F.sum(_col(value)), F.lit(0.0))

@@ -8,12 +8,17 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions import any_equals, last_known, sum_or_zero
+from tidemark.functions import any_equals, micros_since_year_1, packed, sum_or_zero
 from tidemark.sources.readers import CommerceTables
 
+# A category's number takes the low bits of a long, its votes in an order the rest.
+_NUMBER_BITS = 31
+# Later than any date, and digits of a review's rank among those of the same date
+_UNDATED, _RANK_DIGITS = 999_999_999_999_999_999, 19
+
 
 def orders_with_status(orders: DataFrame, statuses: Iterable[str] = ("delivered",)) -> DataFrame:
     return orders.filter(F.col("order_status").isin(*statuses))
@@ -36,43 +41,63 @@ def categorized_items(items: DataFrame, products: DataFrame, category: DataFrame
     return items.join(translated.select("product_id", "product_category_name_english"), "product_id", "left")
 
 
+def numbered_categories(category: DataFrame) -> DataFrame:
+    """category, number: the distinct names, numbered from 0 in descending order.
+
+    One task numbers the names. They are a dimension: a row for each category name, whatever the number of items.
+    """
+    names = category.select(F.col("product_category_name_english").alias("category")).filter("category IS NOT NULL").distinct()
+    return names.select("category", (F.row_number().over(Window.orderBy(F.desc("category"))) - 1).cast("long").alias("number"))
+
+
 def items_per_order(items: DataFrame, products: DataFrame, category: DataFrame) -> DataFrame:
     """Totals, distinct sellers and categories, and the most frequent category of each order.
 
-    Two distinct counts and a mode would each need their own copy of the rows. Instead the items are grouped once
-    by (order, category) and once by (order, seller); the first grouping carries the sums and the counts per
-    category, so the second step reads everything from rows that are already distinct. Ties of the most
-    frequent category go to the smallest name.
+    Categories are numbered, so that a category's items and its number fit into one long, votes above the number: the
+    favourite is a maximum of fixed width, and ties go to the smallest name. The items are grouped by (order, category
+    number) with the sums, and by (order, seller) over two columns; both are then counted per order and joined. All steps
+    are hash aggregates that combine before their shuffle, and no row is copied for a distinct count.
     """
-    by_category = F.grouping("product_category_name_english") == 0
-    grouped = (
-        categorized_items(items, products, category)
-        .filter(F.col("order_id").isNotNull())
-        .groupingSets(
-            [["order_id", "product_category_name_english"], ["order_id", "seller_id"]],
-            "order_id",
-            "product_category_name_english",
-            "seller_id",
-        )
+    named = numbered_categories(category)
+    translated = category.select("product_category_name", F.col("product_category_name_english").alias("category"))
+    numbers = translated.join(named, "category", "left").select("product_category_name", "number")
+    by_product = products.select("product_id", "product_category_name").join(numbers, "product_category_name", "left")
+    known = items.filter(F.col("order_id").isNotNull())
+    votes = F.shiftleft(F.col("rows"), _NUMBER_BITS) + F.col("number")
+    by_category = (
+        known.join(by_product.select("product_id", "number"), "product_id", "left")
+        .groupBy("order_id", "number")
         .agg(
-            by_category.alias("by_category"),
             F.sum("price").alias("price"),
             F.sum("freight_value").alias("freight"),
             F.count("order_item_id").alias("items"),
             F.count(F.lit(1)).alias("rows"),
         )
-        .withColumnRenamed("product_category_name_english", "category")
+        .groupBy("order_id")
+        .agg(
+            sum_or_zero("price").alias("total_price"),
+            sum_or_zero("freight").alias("total_freight"),
+            F.sum("items").alias("item_count"),
+            F.count("number").alias("unique_categories"),
+            F.max(votes).alias("_most"),
+        )
     )
-    named = F.col("by_category") & F.col("category").isNotNull()
-    return grouped.groupBy("order_id").agg(
-        sum_or_zero(F.when(F.col("by_category"), F.col("price"))).alias("total_price"),
-        sum_or_zero(F.when(F.col("by_category"), F.col("freight"))).alias("total_freight"),
-        F.sum(F.when(F.col("by_category"), F.col("items"))).alias("item_count"),
-        F.count(F.when(~F.col("by_category"), F.col("seller_id"))).alias("unique_sellers"),
-        F.count(F.when(named, F.col("category"))).alias("unique_categories"),
-        F.min(F.when(named, F.struct((-F.col("rows")).alias("votes"), F.col("category"))))
-        .getField("category")
-        .alias("top_category"),
+    sellers = known.filter("seller_id IS NOT NULL").select("order_id", "seller_id").distinct()
+    by_seller = sellers.groupBy("order_id").agg(F.count(F.lit(1)).alias("unique_sellers"))
+    favourite = F.col("_most").bitwiseAND(F.lit((1 << _NUMBER_BITS) - 1))
+    return (
+        by_category.join(by_seller, "order_id", "left")
+        .withColumn("number", favourite)
+        .join(named.withColumnRenamed("category", "top_category"), "number", "left")
+        .select(
+            "order_id",
+            "total_price",
+            "total_freight",
+            "item_count",
+            F.coalesce("unique_sellers", F.lit(0)).alias("unique_sellers"),
+            "unique_categories",
+            "top_category",
+        )
     )
 
 
@@ -93,21 +118,27 @@ def payments_per_order(payments: DataFrame) -> DataFrame:
 def latest_review_per_order(reviews: DataFrame) -> DataFrame:
     """The newest known score, comment length and date of each order, each column on its own.
 
-    A review without date counts as the newest. Equal dates fall back to score and length, so the result does not
-    depend on the row order.
+    A review without date counts as the newest. Equal dates fall back to score (none below any; compared to six places,
+    between -400 and 400) and length, so the result does not depend on the row order. Date, score and length are packed
+    into one decimal to be ordered by.
     """
     length = F.length(F.coalesce("review_comment_message", F.lit("")))
+    score = F.least(F.greatest(F.col("review_score"), F.lit(-400.0)), F.lit(400.0))
+    rank = F.coalesce((score * 1_000_000).cast("long") + 400_000_001, F.lit(0).cast("long"))
     sized = reviews.filter(F.col("order_id").isNotNull()).select(
         "order_id",
         "review_score",
         "review_creation_date",
-        F.col("review_creation_date").isNull().alias("undated"),
         length.alias("comment_length"),
+        packed(
+            F.coalesce(micros_since_year_1("review_creation_date"), F.lit(_UNDATED)),
+            rank * 10_000_000_000 + length,
+            _RANK_DIGITS,
+        ).alias("newness"),
     )
-    order = ("undated", "review_creation_date", "review_score", "comment_length")
     return sized.groupBy("order_id").agg(
-        last_known("review_score", *order).alias("review_score"),
-        last_known("comment_length", *order).alias("review_comment_length"),
+        F.max_by("review_score", F.when(F.col("review_score").isNotNull(), F.col("newness"))).alias("review_score"),
+        F.max_by("comment_length", "newness").alias("review_comment_length"),
         F.max("review_creation_date").alias("review_creation_date"),
     )
 

@@ -1,7 +1,7 @@
 """Leak-free customer features as of a cutoff.
 
-Every family is a list of aggregates over the orders strictly before the cutoff. ``feature_matrix`` evaluates the
-lists of all families in one ``groupBy``. ``cutoff`` is a literal, or a column that is among the grouping columns
+Every family is a list of aggregates over the orders strictly before the cutoff. ``feature_matrix`` takes all families from
+one chain: partial states per customer and day, merged per customer. ``cutoff`` is a literal, or a column that is among the grouping columns
 ``by`` (one cutoff per scoring request).
 """
 
@@ -9,17 +9,23 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import datetime
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
-from tidemark.functions import as_timestamp, days_after, last_known, share_above, sum_or_zero, whole_days
+from tidemark.durable import durable
+from tidemark.functions import as_timestamp, days_after, micros_since_year_1, packed, share_above, sum_or_zero, whole_days
 
 CUSTOMER = "customer_unique_id"
 PURCHASED = "order_purchase_timestamp"
 VALUE = "payment_value"
 WINDOWS = (30, 60)
 STATE_SALTS = 32
+STATE_DIGEST = "state_digest"
+# Digits of a 64-bit number above 0; with 18 for the time they fill a decimal.
+_ID_DIGITS = 20
 
 Cutoff = Column | datetime | str
 
@@ -73,11 +79,6 @@ def _delivery() -> list[Column]:
     ]
 
 
-def number_aggregates(cutoff: Column, windows: Sequence[int] = WINDOWS) -> list[Column]:
-    """Every feature that is a plain aggregate of fixed width: all but the order gap and the state frequency."""
-    return [*_rfm(cutoff, PURCHASED, VALUE), *_behavioral(), *_velocity(cutoff, windows, PURCHASED, VALUE), *_delivery()]
-
-
 def order_gaps(past: DataFrame, by: Sequence[str] = (CUSTOMER,), date_col: str = PURCHASED) -> DataFrame:
     """Mean whole days between consecutive orders; NULL for a single order.
 
@@ -95,9 +96,18 @@ def order_gaps(past: DataFrame, by: Sequence[str] = (CUSTOMER,), date_col: str =
     )
 
 
+def newness(df: DataFrame, date_col: str = PURCHASED, id_col: str = "order_id") -> Column:
+    """What orders by time, equal times by greater order id (by greater digest of an id that is not an integer)."""
+    kind = df.schema[id_col].dataType
+    number = F.col(id_col).cast("long") if isinstance(kind, IntegralType) else F.xxhash64(id_col)
+    above_zero = number.cast("decimal(20,0)") + F.lit(Decimal(1 << 63)).cast("decimal(20,0)")
+    return packed(micros_since_year_1(date_col), F.coalesce(above_zero, F.lit(0).cast("decimal(20,0)")), _ID_DIGITS)
+
+
 def latest_state(past: DataFrame, by: Sequence[str] = (CUSTOMER,), date_col: str = PURCHASED) -> DataFrame:
-    """The known state of each customer's newest order; equal times go to the greater order id."""
-    return past.groupBy(*by).agg(last_known("customer_state", date_col, "order_id").alias("customer_state"))
+    """The known state of each customer's newest order, by ``newness``."""
+    order = F.when(F.col("customer_state").isNotNull(), newness(past, date_col))
+    return past.groupBy(*by).agg(F.max_by("customer_state", order).alias("customer_state"))
 
 
 def state_counts(states: DataFrame) -> DataFrame:
@@ -115,10 +125,8 @@ def state_frequency(past: DataFrame, counts: DataFrame | None = None, by: Sequen
     dealt over several salts, and each salt gets its copy of the counts.
     """
     states = latest_state(past, by)
-    salted = states.withColumn("_salt", F.pmod(F.hash(*by), F.lit(STATE_SALTS)))
-    copies = F.explode(F.sequence(F.lit(0), F.lit(STATE_SALTS - 1)))
-    counted = (state_counts(states) if counts is None else counts).withColumn("_salt", copies)
-    return salted.join(counted, ["customer_state", "_salt"], "left").select(*by, "customer_state_freq")
+    counted = state_counts(states) if counts is None else counts
+    return _looked_up(states, counted, "customer_state", by).select(*by, "customer_state_freq")
 
 
 def rfm_features(
@@ -156,6 +164,117 @@ def delivery_features(
     return delivery.join(state_frequency(past, counts, [customer_col]), customer_col)
 
 
+def day_states(orders: DataFrame, cutoff: Cutoff, by: Sequence[str] = (CUSTOMER,), windows: Sequence[int] = WINDOWS) -> DataFrame:
+    """One row per ``by`` and day of purchase before the cutoff, with what all features need of that day's orders.
+
+    Sums, counts and extremes of fixed width. A state is held as its 64-bit digest, because a string buffer would turn the
+    hash aggregation into a sort: two of S states share a digest with a chance of S^2 / 2^65.
+    """
+    past, start = history(orders, cutoff, by), as_timestamp(cutoff)
+    delay = whole_days("order_delivered_customer_date", "order_estimated_delivery_date")
+    averaged = {
+        "review_score": F.col("review_score"),
+        "items": F.col("item_count"),
+        "freight_ratio": F.try_divide("total_freight", "total_price"),
+        "delay": delay,
+        "speed": whole_days("order_delivered_customer_date", PURCHASED),
+    }
+    parts = [
+        F.min(PURCHASED).alias("first_at"),
+        F.max(PURCHASED).alias("last_at"),
+        F.count(F.lit(1)).alias("orders"),
+        F.count("order_id").alias("ids"),
+        F.sum(VALUE).alias("spend"),
+        F.sum("unique_categories").alias("categories"),
+        F.sum("unique_sellers").alias("sellers"),
+        F.count_if(F.col("max_installments") > 1).alias("in_instalments"),
+        F.count_if(delay > 0).alias("late"),
+        F.max("has_voucher").alias("has_voucher"),
+    ]
+    for name, value in averaged.items():
+        parts += [F.sum(value).alias(f"{name}_sum"), F.count(value).alias(f"{name}_n")]
+    for days in windows:
+        recent = F.col(PURCHASED) >= days_after(start, -days)
+        parts.append(F.count(F.when(recent, F.col("order_id"))).alias(f"orders_{days}"))
+        parts.append(F.sum(F.when(recent, F.col(VALUE))).alias(f"spend_{days}"))
+    known = F.when(F.col("customer_state").isNotNull(), newness(past))
+    parts += [F.max_by(F.xxhash64("customer_state"), known).alias(STATE_DIGEST), F.max(known).alias("state_newness")]
+    return past.groupBy(*by, F.col(PURCHASED).cast("date").alias("day")).agg(*parts)
+
+
+def _mean(name: str) -> Column:
+    return F.try_divide(F.sum(f"{name}_sum"), F.sum(f"{name}_n"))
+
+
+def merged_days(days: DataFrame, cutoff: Cutoff, by: Sequence[str] = (CUSTOMER,), windows: Sequence[int] = WINDOWS) -> DataFrame:
+    """All features but the state frequency, from ``day_states``, and the digest of the latest state.
+
+    Orders of one day lie 0 whole days apart, so first and last order of each day are enough for the gaps, and the window
+    sees one row per customer and day, however many orders a customer has.
+    """
+    earlier = F.lag("last_at").over(Window.partitionBy(*by).orderBy("day"))
+    orders, spend = F.sum("orders"), sum_or_zero("spend")
+    recent = []
+    for n in windows:
+        recent.append(F.sum(f"orders_{n}").alias(f"orders_last_{n}d"))
+        recent.append(sum_or_zero(f"spend_{n}").alias(f"spend_last_{n}d"))
+    return (
+        days.withColumn("gap", whole_days(F.col("first_at"), earlier))
+        .groupBy(*by)
+        .agg(
+            whole_days(as_timestamp(cutoff), F.max("last_at")).alias("recency"),
+            orders.alias("frequency"),
+            spend.alias("monetary"),
+            (spend / orders).alias("avg_order_value"),
+            F.coalesce(F.sum("categories"), F.lit(0)).alias("unique_categories"),
+            F.coalesce(F.sum("sellers"), F.lit(0)).alias("unique_sellers"),
+            _mean("review_score").alias("avg_review_score"),
+            _mean("items").alias("avg_items_per_order"),
+            _mean("freight_ratio").alias("avg_freight_ratio"),
+            (F.sum("in_instalments") / orders).alias("pct_installments"),
+            F.max("has_voucher").alias("has_voucher"),
+            *recent,
+            F.try_divide(F.coalesce(F.sum("gap"), F.lit(0)), orders - 1).alias("avg_order_gap_days"),
+            (F.sum("ids") > 1).cast("int").alias("is_repeat_customer"),
+            _mean("delay").alias("avg_delivery_delay_days"),
+            (F.sum("late") / orders).alias("pct_late_deliveries"),
+            _mean("speed").alias("avg_delivery_speed_days"),
+            F.max_by(STATE_DIGEST, "state_newness").alias(STATE_DIGEST),
+        )
+    )
+
+
+def feature_numbers(orders: DataFrame, cutoff: Cutoff, by: Sequence[str] = (CUSTOMER,), windows: Sequence[int] = WINDOWS) -> DataFrame:
+    """All features but the state frequency, and ``state_digest``, from one chain over one scan of the orders.
+
+    The rows of a day are combined before they move, by customer and day; one row per customer and day then moves by
+    customer. Over a base table that is bucketed by customer nothing moves.
+    """
+    return merged_days(day_states(orders, cutoff, by, windows), cutoff, by, windows)
+
+
+def with_state_frequency(numbers: DataFrame, counts: DataFrame | None = None, by: Sequence[str] = (CUSTOMER,)) -> DataFrame:
+    """``customer_state_freq`` instead of ``state_digest``: looked up in ``counts``, or counted among the rows.
+
+    To be counted and looked up, the rows are made durable, which saves a second run of what made them. The lookup is
+    salted as in ``state_frequency``.
+    """
+    if counts is None:
+        numbers = durable(numbers)
+        known = numbers.filter(F.col(STATE_DIGEST).isNotNull())
+        counted = known.groupBy(STATE_DIGEST).agg(F.count(F.lit(1)).alias("customer_state_freq"))
+    else:
+        counted = counts.select(F.xxhash64("customer_state").alias(STATE_DIGEST), "customer_state_freq")
+    return _looked_up(numbers, counted, STATE_DIGEST, by).drop(STATE_DIGEST)
+
+
+def _looked_up(rows: DataFrame, counted: DataFrame, state_col: str, by: Sequence[str]) -> DataFrame:
+    """``rows`` with their state's count. A crowded state is dealt over several salts, each with its copy of the counts."""
+    salted = rows.withColumn("_salt", F.pmod(F.hash(*by), F.lit(STATE_SALTS)))
+    copies = counted.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(STATE_SALTS - 1))))
+    return salted.join(copies, [state_col, "_salt"], "left").drop("_salt")
+
+
 def feature_matrix(
     orders: DataFrame,
     cutoff: Cutoff,
@@ -165,11 +284,7 @@ def feature_matrix(
 ) -> DataFrame:
     """All features, one row per customer with an order before the cutoff.
 
-    Fixed-width aggregates of all families share one hash aggregation. The gap needs order in time and the state is
-    a string (which would turn the whole aggregation into a sort), so these two run beside it over a few narrow
-    columns; all three results are partitioned by ``by`` already when they are joined.
+    ``counts`` are stored state frequencies to look up; without them they are counted among these customers.
     """
-    past = history(orders, cutoff, by)
-    numbers = past.groupBy(*by).agg(*number_aggregates(as_timestamp(cutoff), windows))
-    keys = list(by)
-    return numbers.join(order_gaps(past, by), keys).join(state_frequency(past, counts, by), keys)
+    found = with_state_frequency(feature_numbers(orders, cutoff, by, windows), counts, by)
+    return found.select(*by, *[c for c in found.columns if c not in by])

@@ -45,6 +45,25 @@ def average_precision(scored: DataFrame, label_col: str = "label", score_col: st
     return score_curve(scored, label_col, score_col).agg(_average_precision().alias("average_precision"))
 
 
+def average_precisions(scored: DataFrame, by: str, label_col: str = "label", score_col: str = "score") -> DataFrame:
+    """``average_precision`` of each group of ``by``, all from one sort of the distinct scores.
+
+    Running totals go on from group to group, so each group takes off what came before it.
+    """
+    counted = scored.groupBy(F.col(by).alias("_by"), F.col(score_col).alias("threshold")).agg(
+        F.sum(F.col(label_col).cast("long")).alias("positives"), F.count(F.lit(1)).alias("cases")
+    )
+    placed = global_running(counted, ["_by", F.desc("threshold")], ["positives", "cases"])
+    own = placed.groupBy("_by").agg(
+        F.sum("positives").alias("_all"),
+        *[F.min(F.col(f"running_{c}") - F.col(c)).alias(f"_{c}_before") for c in ("positives", "cases")],
+    )
+    hits = F.col("running_positives") - F.col("_positives_before")
+    step = F.col("positives").cast("double") * hits / (F.col("running_cases") - F.col("_cases_before"))
+    found = placed.join(own, "_by").groupBy(F.col("_by").alias(by))
+    return found.agg(F.try_divide(F.sum(step), F.max("_all")).alias("average_precision"))
+
+
 def roc_auc(scored: DataFrame, label_col: str = "label", score_col: str = "score") -> DataFrame:
     return score_curve(scored, label_col, score_col).agg(_roc_auc().alias("roc_auc"))
 
@@ -91,8 +110,10 @@ def binary_report(
     return curve.agg(*[F.round(measure, 4).alias(name) for name, measure in measures.items()])
 
 
-def confusion(predicted: DataFrame, label_col: str = "label", prediction_col: str = "prediction") -> DataFrame:
-    return predicted.groupBy(label_col, prediction_col).agg(F.count(F.lit(1)).alias("rows"))
+def confusion(
+    predicted: DataFrame, label_col: str = "label", prediction_col: str = "prediction", by: Sequence[str] = ()
+) -> DataFrame:
+    return predicted.groupBy(*by, label_col, prediction_col).agg(F.count(F.lit(1)).alias("rows"))
 
 
 def tier_report(
@@ -100,9 +121,10 @@ def tier_report(
     tiers: Sequence[str] = ("low", "mid", "high"),
     label_col: str = "label",
     prediction_col: str = "prediction",
+    by: Sequence[str] = (),
 ) -> DataFrame:
-    """Weighted F1 and the F1 of every tier (0 for a tier that neither occurs nor is predicted)."""
-    counted = confusion(predicted, label_col, prediction_col)
+    """Weighted F1 and the F1 of every tier (0 for a tier that neither occurs nor is predicted), for each group of ``by``."""
+    counted = confusion(predicted, label_col, prediction_col, by)
     scores, weighted, support_sum = [], F.lit(0.0), F.lit(0)
     for number, name in enumerate(tiers):
         is_label, is_called = F.col(label_col) == number, F.col(prediction_col) == number
@@ -112,6 +134,6 @@ def tier_report(
         score = F.coalesce(F.try_divide(2 * hits, support + called), F.lit(0.0))
         scores.append(F.round(score, 4).alias(f"f1_{name}"))
         weighted, support_sum = weighted + score * support, support_sum + support
-    return counted.agg(F.round(F.try_divide(weighted, support_sum), 4).alias("weighted_f1"), *scores)
+    return counted.groupBy(*by).agg(F.round(F.try_divide(weighted, support_sum), 4).alias("weighted_f1"), *scores)
 
 

@@ -4,26 +4,32 @@ from __future__ import annotations
 
 import math
 import random
-from collections.abc import Sequence
+import time
+from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import asdict, dataclass
+from dataclasses import asdict, dataclass, replace
 from itertools import chain
+from typing import TypeVar
 
 from pyspark import inheritable_thread_target
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.metrics import average_precision, tier_report
+from tidemark.operators.metrics import average_precisions, tier_report
 from tidemark.operators.ordering import stratified_folds, time_series_folds
+from tidemark.operators.prefixes import FlatTrees, staged_margins
 from tidemark.operators.profile import class_balance
+from tidemark.operators.selection import exact_lower_medians
 from tidemark.settings import SearchSpace
 
+T = TypeVar("T")
 WEIGHT = "row_weight"
-MEDIAN_ACCURACY = 10_000
+# Rows of a task while models are fitted
+ROWS_PER_TASK = 50_000
 
 
 @dataclass(frozen=True)
@@ -49,10 +55,10 @@ def aligned(df: DataFrame, features: Sequence[str], keep: Sequence[str] = ()) ->
 def encoder_stages(train: DataFrame, features: Sequence[str], prefix: str) -> list:
     """Stages that turn features into ``<prefix>_features``: the value or else the median, and a missing flag each.
 
-    The medians are taken in one pass; a feature without any value is filled with 0.
+    The medians are exact, so a model does not depend on how its rows are partitioned; a feature without any value is
+    filled with 0.
     """
-    found = train.agg(*[F.percentile_approx(c, 0.5, MEDIAN_ACCURACY).alias(c) for c in features]).first()
-    medians = [0.0 if found[c] is None else float(found[c]) for c in features]
+    medians = [0.0 if median is None else float(median) for median in exact_lower_medians(train, features)]
     filled = [f"coalesce(`{c}`, {m!r}D) AS `{prefix}_{c}`" for c, m in zip(features, medians, strict=True)]
     flags = [f"CAST(`{c}` IS NULL AS DOUBLE) AS `{prefix}_{c}_missing`" for c in features]
     vector = [f"{prefix}_{c}" for c in features] + [f"{prefix}_{c}_missing" for c in features]
@@ -96,8 +102,30 @@ def train_model(
     class, because Spark's boosting is binary; see ``predicted_class``.
     """
     rows = aligned(train, features, [label_col])
-    stages = [*encoder_stages(rows, features, prefix), *classifiers(params, label_col, objective, prefix, classes)]
-    return Pipeline(stages=stages).fit(with_class_marks(rows, label_col, objective, classes))
+    encoder = encoder_stages(rows, features, prefix)
+    marked = with_class_marks(rows, label_col, objective, classes)
+    marks = [c for c in marked.columns if c not in features]
+    encoded = sized(PipelineModel(encoder).transform(marked).select(*marks, f"{prefix}_features")).cache()
+    try:
+        fits = [lambda c=c: c.fit(encoded) for c in classifiers(params, label_col, objective, prefix, classes)]
+        return PipelineModel([*encoder, *at_once(train.sparkSession, fits)])
+    finally:
+        encoded.unpersist()
+
+
+def sized(rows: DataFrame) -> DataFrame:
+    """``rows`` in as many partitions as their number asks for, never in more than they have.
+
+    Each tree runs a job a level over the rows, so on few rows tasks cost more than what they do.
+    """
+    return rows.coalesce(max(1, -(-rows.count() // ROWS_PER_TASK)))
+
+
+def at_once(spark: SparkSession, tasks: Sequence[Callable[[], T]], most: int | None = None) -> list[T]:
+    """The results of ``tasks``, which run as concurrent Spark jobs, at most ``most`` at a time."""
+    run = inheritable_thread_target(spark)(lambda task: task())
+    with ThreadPoolExecutor(max_workers=max(1, min(most or len(tasks), len(tasks)))) as pool:
+        return list(pool.map(run, tasks))
 
 
 def with_class_marks(rows: DataFrame, label_col: str, objective: str, classes: int = 3) -> DataFrame:
@@ -138,6 +166,17 @@ def random_params(space: SearchSpace, rng: random.Random, seed: int) -> TreePara
     )
 
 
+def drawn_params(space: SearchSpace, trials: int, counts_per_fit: int, seed: int) -> list[TreeParams]:
+    """The parameters of all trials. ``counts_per_fit`` trials in a row differ in nothing but their number of trees."""
+    rng = random.Random(seed)
+    found: list[TreeParams] = []
+    while len(found) < trials:
+        first = random_params(space, rng, seed)
+        others = [replace(first, trees=rng.randint(*space.trees)) for _ in range(counts_per_fit - 1)]
+        found += [first, *others]
+    return found[:trials]
+
+
 def _numbered(train, label_col: str, objective: str, folds: int, order_by: Sequence[str], seed: int) -> DataFrame:
     if objective == "multi":
         return stratified_folds(train, label_col, order_by[-1], folds, seed)
@@ -160,17 +199,29 @@ def _encoded_fold(fit: DataFrame, validate: DataFrame, features, label_col, obje
     marks = [c for c in marked.columns if c not in features]
     learned = encoder.transform(marked).select(*marks, "cv_features")
     judged = encoder.transform(aligned(validate, features, [label_col])).select(label_col, "cv_features")
-    return learned.cache(), judged.cache()
+    return sized(learned).cache(), sized(judged).cache()
 
 
-def _fold_score(learned: DataFrame, judged: DataFrame, label_col, params, objective) -> float:
-    model = Pipeline(stages=classifiers(params, label_col, objective, "cv")).fit(learned)
-    scored = model.transform(judged)
+def staged_scores(learned: DataFrame, judged: DataFrame, label_col: str, params: TreeParams, objective: str, counts: Sequence[int]) -> list[float]:
+    """The validation score after each number of trees in ``counts``, from one fit of the most trees.
+
+    Boosting adds trees and changes none, so the first trees of a long fit are the short fit: running margins over the
+    trees score every prefix in one pass over the validation rows.
+    """
+    longest = replace(params, trees=max(counts))
+    fits = [lambda c=c: FlatTrees.of_model(c.fit(learned)) for c in classifiers(longest, label_col, objective, "cv")]
+    trees = at_once(learned.sparkSession, fits)
+    staged = staged_margins(judged, "cv_features", [label_col], trees, counts)
+    label = F.col(label_col).alias("label")
     if objective == "multi":
-        called = scored.select(F.col(label_col).alias("label"), predicted_class("cv").alias("prediction"))
-        return tier_report(called).first()["weighted_f1"]
-    scores = scored.select(F.col(label_col).alias("label"), positive_probability("cv").alias("score"))
-    return average_precision(scores).first()["average_precision"]
+        best = (F.array_position("margins", F.array_max("margins")) - 1).cast("int")
+        rows = tier_report(staged.select("stage", label, best.alias("prediction")), by=["stage"]).collect()
+        found = {r["stage"]: r["weighted_f1"] for r in rows}
+    else:
+        score = 1 / (1 + F.exp(-2 * F.col("margins")[0]))
+        rows = average_precisions(staged.select("stage", label, score.alias("score")), "stage").collect()
+        found = {r["stage"]: r["average_precision"] for r in rows}
+    return [found[i] for i in range(len(counts))]
 
 
 def tune_model(
@@ -183,25 +234,29 @@ def tune_model(
     order_by: Sequence[str] = ("first_order_date", "customer_unique_id"),
     seed: int = 42,
     space: SearchSpace | None = None,
-    parallelism: int = 4,
+    parallelism: int = 8,
+    counts_per_fit: int = 5,
 ) -> tuple[TreeParams, DataFrame]:
     """Seeded random search; returns the best parameters and one row per trial.
 
     ``binary`` is judged by average precision on later customers than it was trained on, ``multi`` by weighted F1 on
-    stratified folds. Each fold is encoded once for all trials. Trials run as concurrent Spark jobs. A fold without both classes on both sides has no average
-    precision; it is left out and counted in ``skipped_folds``.
+    stratified folds. Each fold is encoded once for all trials, and fitted once for the ``counts_per_fit`` trials that
+    differ in their number of trees alone (see ``staged_scores``). Fits of all settings and folds run as concurrent Spark
+    jobs. A fold without both classes on both sides has no average precision; it is left out and counted in
+    ``skipped_folds``. ``fit_seconds`` is the time of the trial's share of its fits.
     """
     spark = train.sparkSession
-    rng = random.Random(seed)
-    drawn = [random_params(space or SearchSpace(), rng, seed) for _ in range(trials)]
+    drawn = drawn_params(space or SearchSpace(), trials, counts_per_fit, seed)
+    groups = [list(range(i, min(i + counts_per_fit, trials))) for i in range(0, trials, counts_per_fit)]
     numbered = _numbered(train, label_col, objective, folds, order_by, seed).cache()
     sides = _sides(numbered, objective, folds)
     encoded = []
 
-    @inheritable_thread_target(spark)
-    def judge(params: TreeParams) -> float:
-        scores = [_fold_score(learned, judged, label_col, params, objective) for learned, judged in encoded]
-        return sum(scores) / len(scores)
+    def judge(group: list[int], learned: DataFrame, judged: DataFrame) -> tuple[list[float], float]:
+        started = time.perf_counter()
+        counts = [drawn[i].trees for i in group]
+        scores = staged_scores(learned, judged, label_col, drawn[group[0]], objective, counts)
+        return scores, (time.perf_counter() - started) / len(group)
 
     try:
         scorable = [pair for pair in sides if _has_classes(*pair, label_col, objective)]
@@ -209,19 +264,25 @@ def tune_model(
             raise ValueError("no fold holds both classes")
         for fit, validate in scorable:
             encoded.append(_encoded_fold(fit, validate, features, label_col, objective))
-        with ThreadPoolExecutor(max_workers=max(1, min(parallelism, trials))) as pool:
-            means = list(pool.map(judge, drawn))
+        tasks = [(group, pair) for group in groups for pair in encoded]
+        judged = at_once(spark, [lambda g=g, p=p: judge(g, *p) for g, p in tasks], parallelism)
     finally:
         for cached in (numbered, *chain.from_iterable(encoded)):
             cached.unpersist()
+    totals, seconds = [0.0] * trials, [0.0] * trials
+    for (group, _), (scores, share) in zip(tasks, judged, strict=True):
+        for trial, score in zip(group, scores, strict=True):
+            totals[trial] += score
+            seconds[trial] += share
+    means = [total / len(scorable) for total in totals]
     best = max(range(trials), key=lambda i: (means[i], -i))
     rows = [
-        (number, *asdict(params).values(), mean, len(sides) - len(scorable), number == best)
+        (number, *asdict(params).values(), mean, len(sides) - len(scorable), number == best, round(seconds[number], 3))
         for number, (params, mean) in enumerate(zip(drawn, means, strict=True))
     ]
     schema = (
         "trial int, trees int, depth int, step_size double, row_fraction double, column_fraction double, "
-        "min_leaf_rows int, seed int, mean_score double, skipped_folds int, is_best boolean"
+        "min_leaf_rows int, seed int, mean_score double, skipped_folds int, is_best boolean, fit_seconds double"
     )
     return drawn[best], spark.createDataFrame(rows, schema)
 

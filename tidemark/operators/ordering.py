@@ -9,7 +9,8 @@ from math import floor
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.durable import durable
+from tidemark.durable import bucketed, durable
+from tidemark.functions import as_timestamp
 
 # monotonically_increasing_id: partition number above bit 33, row number in the partition below
 _PARTITION_BITS = 33
@@ -20,10 +21,17 @@ def global_running(df: DataFrame, order_by: Sequence[Column | str], sums: Sequen
 
     ``order_by`` must order the rows completely (end it with a unique column), which also keeps the range
     partitions of the sort even. The sorted rows are made durable, because partition numbers are only
-    comparable within one execution. What is broadcast is one row per partition of the sort.
+    comparable within one execution. With ``sums`` they are stored in buckets of whole partitions, so the running totals
+    are taken where the rows lie: the sort is the only step that moves rows. What is broadcast is one row per partition of
+    the sort.
     """
-    laid = durable(df.sort(*order_by).withColumn("_slot", F.monotonically_increasing_id()))
-    laid = laid.withColumn("_part", F.shiftright("_slot", _PARTITION_BITS))
+    slotted = df.sort(*order_by).withColumn("_slot", F.monotonically_increasing_id())
+    slotted = slotted.withColumn("_part", F.shiftright("_slot", _PARTITION_BITS))
+    if sums:
+        buckets = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        laid = bucketed(slotted, "_part", ["_slot"], buckets)
+    else:
+        laid = durable(slotted)
     per_part = laid.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows"), *[F.sum(c).alias(f"_sum_{c}") for c in sums])
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     everything = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -99,6 +107,27 @@ def chronological_split(
     return placed.withColumn("split", split).drop("total_rows")
 
 
+def chronological_cut(targets: DataFrame, train_fraction: float = 0.80, customer_col: str = "customer_unique_id") -> Column:
+    """'train' or 'test' as ``chronological_split`` says, as a column over ``targets`` with ``first_order_date``.
+
+    Only the first customer of the test side is looked up, over two columns; each row is then compared with it where it
+    lies, so whatever the targets are partitioned by stays.
+    """
+    order = [F.asc_nulls_last("first_order_date"), F.asc(customer_col)]
+    placed = global_running(targets.select("first_order_date", customer_col), order)
+    edge = placed.filter(F.col("position") == F.floor(F.col("total_rows") * F.lit(train_fraction))).first()
+    if edge is None:
+        return F.lit("train")
+    date, customer = F.col("first_order_date"), F.col(customer_col)
+    before = customer < F.lit(edge[customer_col])
+    if edge["first_order_date"] is None:
+        earlier = date.isNotNull() | before
+    else:
+        at = as_timestamp(edge["first_order_date"])
+        earlier = date.isNotNull() & ((date < at) | ((date == at) & before))
+    return F.when(earlier, "train").otherwise("test")
+
+
 def time_series_folds(df: DataFrame, order_by: Sequence[Column | str], folds: int = 5) -> DataFrame:
     """Add ``fold``: rows of fold i are validated by a model of all rows with a smaller fold number.
 

@@ -7,14 +7,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.durable import durable, shared_folder
-from tidemark.operators import attribution, base_table, features, metrics, modeling, profile, targets
-from tidemark.plans import queries, reporting, scoring
-from tidemark.plans.artifact import Artifact, log_run
+from tidemark.operators import attribution, base_table, features, metrics, modeling, ordering, profile, targets
+from tidemark.plans import queries, reporting, scoring, training
+from tidemark.plans.artifact import log_run
 from tidemark.plans.queries import CUSTOMER, CUTOFF, Query, tidy
-from tidemark.settings import FEATURES, TIER_LABELS
-from tidemark.sources import read_base_table, read_csv_tables, read_requests, write_base_table
+from tidemark.settings import FEATURES, TIER_LABELS, Settings
+from tidemark.sources import (
+    read_base_table,
+    read_bucketed_base_table,
+    read_csv_tables,
+    read_requests,
+    write_base_table,
+    write_bucketed_base_table,
+)
 from tidemark.sources.commerce import commerce_tables
-from tidemark.streaming import request_stream, score_stream
+from tidemark.streaming import read_stream_output, request_stream, score_stream
 
 # A feature that no table has, between features in another order than the matrix has them
 ALIGNED = ("recency", "not_a_feature", "has_voucher", "monetary", "avg_order_gap_days")
@@ -77,25 +84,53 @@ def customer_segments(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def shapley_additivity(spark: SparkSession, folder: str) -> DataFrame:
-    """Training customers, and those whose Shapley values do not add up to margin minus expectation."""
+    """Training customers, and those whose Shapley values do not add up to margin minus expectation, for a full scout."""
     found = targets.customer_targets(queries.base_rows(spark, folder), CUTOFF)
     matrix = features.feature_matrix(queries.base_rows(spark, folder), CUTOFF)
     rows = durable(modeling.aligned(found.join(matrix, CUSTOMER), FEATURES, ["will_return"]))
     encoded = Pipeline(stages=modeling.encoder_stages(rows, FEATURES, "scout")).fit(rows).transform(rows)
-    model = modeling.boosted_trees(modeling.TreeParams(trees=20), "will_return", "scout").fit(encoded)
+    settings = Settings()
+    scout = modeling.TreeParams(settings.scout_trees, settings.scout_depth, settings.scout_step_size)
+    model = modeling.boosted_trees(scout, "will_return", "scout").fit(encoded)
     return attribution.additivity(model.transform(encoded), "scout_features", "scout_raw", model)
 
 
-def stored_artifact(spark: SparkSession, folder: str) -> Artifact:
-    """An artifact that was saved and loaded."""
-    path = shared_folder(spark, "artifact")
-    queries.quick_artifact(durable(queries.base_rows(spark, folder))).save(path)
-    return Artifact.load(spark, path)
+def feature_cache(spark: SparkSession, folder: str) -> DataFrame:
+    """Per stage, how many features training stored, and whether a second selection reads back just those of the model."""
+    path, artifact = queries.trained_folder(spark, folder), queries.stored_artifact(spark, folder)
+    nothing = spark.range(0).withColumn("label", F.lit(0))
+    rows = []
+    for stage, used in (("stage1", artifact.stage1_features), ("stage2", artifact.stage2_features)):
+        again = attribution.select_features(nothing, [], "label", stage=stage, cache_path=f"{path}/selected")
+        rows.append((stage, len(again), again == used))
+    return spark.createDataFrame(rows, "stage string, features int, same_as_model boolean")
+
+
+def bucketed_features(spark: SparkSession, folder: str) -> DataFrame:
+    """``train_test_features`` from a base table that was stored in buckets by customer."""
+    path = shared_folder(spark, "by-customer")
+    write_bucketed_base_table(queries.base_rows(spark, folder), path)
+    known = read_bucketed_base_table(spark, path)
+    found = targets.customer_targets(known, CUTOFF, queries.HORIZON_DAYS, first_order=True)
+    split = found.withColumn("split", ordering.chronological_cut(found))
+    numbers = features.feature_numbers(known, CUTOFF)
+    return tidy(features.with_state_frequency(split.join(numbers, CUSTOMER, "left")))
+
+
+def step_reports(spark: SparkSession, folder: str) -> DataFrame:
+    """What training and the storing of the base table observed on their way, as numbers by name."""
+    path = shared_folder(spark, "by-customer")
+    stored = training.store_base_table(commerce_tables(spark, folder), path)
+    _, trained = training.training_table(read_bucketed_base_table(spark, path), CUTOFF, Settings())
+    said = {"orders": stored["rows"], "without_customer": stored["without_customer"]}
+    said |= {name: trained[name] for name in ("returners", "return_rate", "train_customers", "test_customers")}
+    said |= {name: trained[name] for name in ("train_return_rate", "test_return_rate")}
+    return tidy(spark.createDataFrame([(k, float(v)) for k, v in said.items()], "fact string, value double"))
 
 
 def scored_grain(spark: SparkSession, folder: str) -> DataFrame:
     """Responses, distinct askers, and responses with an impossible probability or segment, by kind."""
-    artifact = stored_artifact(spark, folder)
+    artifact = queries.stored_artifact(spark, folder)
     customers = scoring.score_customers(queries.base_rows(spark, folder), CUTOFF, artifact)
     requests = scoring.score_requests(queries.request_rows(spark, folder), artifact)[0]
     return _grain(customers, "customers", CUSTOMER).unionByName(_grain(requests, "requests", "request_id"))
@@ -113,17 +148,59 @@ def _grain(scored: DataFrame, kind: str, key: str) -> DataFrame:
     )
 
 
-def stream_rejections(spark: SparkSession, folder: str) -> DataFrame:
-    """Requests that the stream rejects, from JSON files that it reads to their end."""
+def scored_from_nodes(spark: SparkSession, folder: str) -> DataFrame:
+    """Responses by kind, and those that differ from a walk through the exported nodes of the model.
+
+    The nodes are data of their own, so probability, class and segment are computed a second time without Spark's models.
+    """
+    artifact = queries.stored_artifact(spark, folder)
+    known = queries.base_rows(spark, folder)
+    customers = features.feature_matrix(known, CUTOFF, counts=artifact.state_counts)
+    asked = queries.requests.request_features(queries.valid_request_rows(spark, folder), artifact.state_counts)
+    return _differing(
+        "customers", scoring.score_customers(known, CUTOFF, artifact), scoring.scores_from_nodes(customers, artifact, [CUSTOMER]), [CUSTOMER]
+    ).unionByName(
+        _differing(
+            "requests",
+            scoring.score_requests(queries.request_rows(spark, folder), artifact)[0],
+            scoring.scores_from_nodes(asked, artifact, queries.requests.REQUEST_KEYS),
+            queries.requests.REQUEST_KEYS,
+        )
+    )
+
+
+def _differing(kind: str, one: DataFrame, other: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of ``one``, and how many have no equal in ``other`` (probabilities within a ten-thousandth)."""
+    renamed = other.withColumnsRenamed({"will_return_probability": "_p", "customer_segment": "_s"})
+    same = (F.abs(F.col("will_return_probability") - F.col("_p")) <= 1.00001e-4) & (F.col("customer_segment") == F.col("_s"))
+    both = one.join(renamed, list(keys), "left")
+    return both.agg(
+        F.lit(kind).alias("kind"), F.count(F.lit(1)).alias("responses"), F.count_if(~F.coalesce(same, F.lit(False))).alias("different")
+    )
+
+
+def _streamed(spark: SparkSession, folder: str) -> str:
+    """Where a stream put what it made of the requests, which it reads from JSON files to their end."""
     asked, sink, state = (shared_folder(spark, kind) for kind in ("asked", "sink", "state"))
     queries.request_rows(spark, folder).write.mode("overwrite").json(asked)
-    artifact = stored_artifact(spark, folder)
-    started = score_stream(request_stream(spark, asked), artifact, sink, state).trigger(availableNow=True).start()
-    started.awaitTermination()
-    rejected = spark.read.parquet(f"{sink}/rejected").drop("batch")
+    writer = score_stream(request_stream(spark, asked), queries.stored_artifact(spark, folder), sink, state)
+    writer.trigger(availableNow=True).start().awaitTermination()
+    return sink
+
+
+def stream_rejections(spark: SparkSession, folder: str) -> DataFrame:
+    """Requests that the stream rejects."""
+    rejected = read_stream_output(spark, _streamed(spark, folder), "rejected").drop("batch")
     return rejected.withColumn("violations", F.array_join("violations", ","))
 
 
+def stream_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """Responses of the stream, and those that differ from batch scoring with the same artifact."""
+    streamed = read_stream_output(spark, _streamed(spark, folder), "scored").drop("batch")
+    batch = scoring.score_requests(queries.request_rows(spark, folder), queries.stored_artifact(spark, folder))[0]
+    return _differing("streamed", streamed, batch, queries.requests.REQUEST_KEYS)
+
+
 def json_requests(spark: SparkSession, folder: str) -> DataFrame:
     """Requests written as JSON, read back and validated."""
     path = shared_folder(spark, "requests")
@@ -144,8 +221,13 @@ FACTS: dict[str, Query] = {
         aligned_features,
         customer_segments,
         shapley_additivity,
+        feature_cache,
+        bucketed_features,
+        step_reports,
         scored_grain,
+        scored_from_nodes,
         stream_rejections,
+        stream_scores,
         json_requests,
     )
 }

@@ -370,6 +370,17 @@ def oracle_queries() -> dict[str, str]:
         "train_test_features": _rounded(
             "split LEFT JOIN matrix USING (customer_unique_id)", ["future_spend", *_FEATURE_DOUBLES]
         ),
+        "bucketed_features": "SELECT * EXCLUDE (position) FROM ("
+        + _rounded("split LEFT JOIN matrix USING (customer_unique_id)", ["future_spend", *_FEATURE_DOUBLES])
+        + ")",
+        "step_reports": f"""
+            SELECT fact, {_r("value")} AS value FROM (
+                SELECT 'orders' AS fact, CAST(count(*) AS DOUBLE) AS value FROM base
+                UNION ALL SELECT 'without_customer', count(*) FILTER (customer_unique_id IS NULL) FROM base
+                UNION ALL SELECT 'returners', sum(will_return) FROM targets
+                UNION ALL SELECT 'return_rate', avg(will_return) FROM targets
+                UNION ALL SELECT split || '_customers', count(*) FROM split GROUP BY split
+                UNION ALL SELECT split || '_return_rate', avg(will_return) FROM split GROUP BY split)""",
         "time_series_folds": """
             SELECT customer_unique_id, first_order_date, position,
                 CAST(CASE WHEN position >= n - 5 * (n // 6) THEN (position - (n - 5 * (n // 6))) // (n // 6) + 1 ELSE 0 END
@@ -433,6 +444,17 @@ def oracle_queries() -> dict[str, str]:
     keys = "request_id, customer_unique_id, cutoff_date"
     request_matrix = _feature_ctes("request_orders", keys, "cutoff_date", "asked_", within="request_id")
     return {
+        "feature_cache": """
+            SELECT stage, CAST(features AS INTEGER) AS features, TRUE AS same_as_model
+            FROM (VALUES ('stage1', 15), ('stage2', 10)) chosen(stage, features)""",
+        "scored_from_nodes": f"""
+            SELECT 'customers' AS kind, known AS responses, CAST(0 AS BIGINT) AS different
+            FROM (WITH {_CUSTOMERS} SELECT count(*) AS known FROM targets)
+            UNION ALL
+            SELECT 'requests', valid, 0 FROM (WITH {_REQUESTS} SELECT count(*) AS valid FROM checked WHERE violations = '')""",
+        "stream_scores": f"""
+            WITH {_REQUESTS} SELECT 'streamed' AS kind, count(*) AS responses, CAST(0 AS BIGINT) AS different
+            FROM checked WHERE violations = ''""",
         "scored_grain": f"""
             SELECT 'customers' AS kind, known AS responses, known AS askers, CAST(0 AS BIGINT) AS impossible,
                 CAST(0 AS BIGINT) AS missing

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, fields
 from datetime import datetime
 
@@ -11,6 +12,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions import as_timestamp
 from tidemark.sources.schemas import CSV_PATTERNS, MULTI_LINE_TABLES, REQUEST_SCHEMA, TABLE_COLUMNS
+from tidemark.sources.sinks import BUCKETING, CUSTOMER, PURCHASED
 
 CORRUPT = "_corrupt_record"
 
@@ -84,6 +86,24 @@ def read_base_table(spark: SparkSession, path: str, before: datetime | str | Non
     return table.filter((F.col("purchase_month") <= moment.cast("date")) & (F.col("order_purchase_timestamp") < moment))
 
 
+def read_bucketed_base_table(spark: SparkSession, path: str) -> DataFrame:
+    """The base table that ``write_bucketed_base_table`` stored, with its bucketing known to the planner.
+
+    The table is named in the catalog only while its plan is made.
+    """
+    count = spark.read.parquet(f"{path}/{BUCKETING}").first()["buckets"]
+    columns = spark.read.parquet(path)._jdf.schema().toDDL()
+    name = f"tidemark_{uuid.uuid4().hex}"
+    spark.sql(
+        f"CREATE TABLE {name} ({columns}) USING parquet LOCATION '{path}' "
+        f"CLUSTERED BY ({CUSTOMER}) SORTED BY ({CUSTOMER}, {PURCHASED}) INTO {count} BUCKETS"
+    )
+    try:
+        return spark.table(name)
+    finally:
+        spark.sql(f"DROP TABLE {name}")  # its files stay, because it was given a path
+
+
 def read_requests(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
     """Scoring requests, one per row, each with a ``request_id`` of its own.
 

@@ -1,3 +1,3 @@
-from tidemark.streaming.scoring import request_stream, score_stream
+from tidemark.streaming.scoring import read_stream_output, request_stream, score_stream
 
-__all__ = ["request_stream", "score_stream"]
+__all__ = ["read_stream_output", "request_stream", "score_stream"]

@@ -14,7 +14,9 @@ from tidemark.operators.ordering import global_running
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
 REPEATS = 3
-BLOCKS = 65_536
+# Blocks that the words of a level are cut into at least, and blocks that a source's target must hold to be settled there
+BLOCKS, FINE = 65_536, 256
+SEED = 29
 
 
 def word_count(text: Column) -> Column:
@@ -71,62 +73,101 @@ def block_quotas(targets: DataFrame, block: int, blocks: int, shards: int) -> Da
     return won.groupBy("source", shard.alias("shard")).agg(F.count(F.lit(1)).alias("quota"))
 
 
-def mixed_rows(documents: DataFrame) -> DataFrame:
-    """The rows of the mix: every document as often as it is taken, a part of a document counting as the whole.
+def wanted_words(targets: DataFrame, shards: int, blocks: int = BLOCKS) -> DataFrame:
+    """source, shard, quota and block: how many blocks of ``block`` words each shard takes from each source.
 
-    Documents that give no words are left out. Rows that agree in doc_id, source and size share their copies evenly.
+    All words are cut into ``blocks`` equal blocks and apportioned. Sources whose target holds ``FINE`` blocks or more keep
+    their quotas. The others are too small for blocks of that size; their targets are pooled and apportioned again with
+    finer blocks, down to single words. So every source is within about a ``FINE``-th of its target, however large the
+    others are. There are at least ``FINE`` blocks a source, so the largest source of a level is always settled.
     """
-    copies = F.ceil(F.sum("taken") / (F.max("size") * F.count(F.lit(1))))
-    taken = mix(documents).filter("taken > 0").groupBy("doc_id", "source", "size").agg(copies.cast("int").alias("n"))
-    facts = durable(taken.select(*[F.col(c).alias(f"_mix_{c}") for c in ("doc_id", "source", "size", "n")]))
-    same = (
-        F.col("doc_id").eqNullSafe(F.col("_mix_doc_id"))
-        & F.col("source").eqNullSafe(F.col("_mix_source"))
-        & (F.col("_words") == F.col("_mix_size"))
-    )
-    joined = documents.withColumn("_words", word_count(F.col("text"))).join(facts, same)
-    again = joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_mix_n"))))
-    return again.select(*[documents[c] for c in documents.columns])
+    found, open_ = None, durable(targets.filter("target > 0").select("source", "target"))
+    while True:
+        facts = open_.agg(F.sum("target"), F.count(F.lit(1))).first()
+        words = int(facts[0] or 0)
+        block = max(1, words // max(blocks, FINE * facts[1]))
+        quotas = block_quotas(open_, block, words // block, shards).withColumn("block", F.lit(block).cast("long"))
+        settled = F.col("target") >= F.lit(FINE * block) if block > 1 else F.lit(True)
+        kept = open_.filter(settled).select(F.col("source").alias("_s"))
+        quotas = durable(quotas.join(kept, F.col("source").eqNullSafe(F.col("_s")), "left_semi"))
+        found = quotas if found is None else found.unionByName(quotas)
+        if block == 1:
+            return found
+        open_ = durable(open_.filter(~settled))
 
 
-def mix(documents: DataFrame, blocks: int = BLOCKS, shards: int = 40, seed: int = 29) -> DataFrame:
-    """doc_id, size, source, source_size, target and ``taken`` words of every document.
+def _order(seed: int) -> list[Column]:
+    """Seeded order of the documents of a source."""
+    return [F.xxhash64(F.lit(seed), "doc_id", "size").alias("_hash"), F.col("doc_id"), F.col("size")]
 
-    The words of all documents are divided into ``blocks`` equal blocks (fewer, if there are fewer words), which the
-    sources get by ``block_quotas``; a source is thus within about one block, a 65,536th of all words, of its target. The
-    documents of a source are laid out in a seeded order, cut into blocks, and its quota takes the blocks in that
-    order, beginning again when the source is used up, but never more than ``REPEATS`` times. A document at the end of
-    the last block gives only the words inside it.
 
-    Null, empty and blank texts have size 0 and give nothing; null ids and sources are ordinary values; repeated rows
-    count each; an empty table gives an empty result. Equal rows may swap their places.
+def _plan(documents: DataFrame, blocks: int, shards: int, seed: int) -> tuple[DataFrame, DataFrame]:
+    """The documents laid out by source and seeded order, and one row a source.
+
+    Of each document doc_id, source, size and ``_from``, the words of its source before it. Of each source its name ``_of``,
+    source_size, target, and ``_wanted``, the words that it gives.
     """
     narrow = durable(documents.select("doc_id", "source", word_count(F.col("text")).alias("size")))
-    order = [F.asc_nulls_last("source"), F.xxhash64(F.lit(seed), "doc_id", "size"), "doc_id", "size"]
-    laid = durable(
-        global_running(narrow, order, ["size"]).select(
-            "doc_id", "source", "size", (F.col("running_size") - F.col("size")).alias("_from")
-        )
-    )
-    sizes = laid.groupBy("source").agg(F.sum("size").alias("source_size"), F.min("_from").alias("_start"))
-    sizes = durable(sizes)
+    placed = global_running(narrow, [F.asc_nulls_last("source"), *_order(seed)], ["size"])
+    laid = durable(placed.select("doc_id", "source", "size", (F.col("running_size") - F.col("size")).alias("_at")))
+    sizes = durable(laid.groupBy("source").agg(F.sum("size").alias("source_size"), F.min("_at").alias("_start")))
     targets = durable(source_targets(sizes.select("source", "source_size")))
-    words = sizes.agg(F.sum("source_size")).first()[0] or 0
-    block = max(1, words // blocks)
-    quotas = block_quotas(targets, block, words // block, shards)
-    won = quotas.groupBy(F.col("source").alias("_s")).agg(F.sum("quota").alias("_blocks"))
+    won = wanted_words(targets, shards, blocks).groupBy(F.col("source").alias("_s"))
+    won = won.agg(F.sum(F.col("quota") * F.col("block")).alias("_won"))
     facts = targets.join(won, F.col("source").eqNullSafe(F.col("_s")), "left").select(
         F.col("source").alias("_of"),
         "target",
-        F.least(F.coalesce("_blocks", F.lit(0)) * block, F.col("source_size") * REPEATS).alias("_wanted"),
+        F.least(F.coalesce("_won", F.lit(0)), F.col("source_size") * REPEATS).alias("_wanted"),
     )
     facts = durable(
         facts.join(sizes.withColumnRenamed("source", "_s"), F.col("_of").eqNullSafe(F.col("_s"))).select(
             "_of", "source_size", "target", "_start", "_wanted"
         )
     )
+    laid = laid.join(facts.select(F.col("_of").alias("_s"), "_start"), F.col("source").eqNullSafe(F.col("_s")))
+    return laid.select("doc_id", "source", "size", (F.col("_at") - F.col("_start")).alias("_from")), facts.drop("_start")
+
+
+_ROUNDS = "if(source_size = 0, 0, _wanted div source_size)"
+_REST = "if(source_size = 0, 0, _wanted % source_size)"
+
+
+def mixed_rows(documents: DataFrame, blocks: int = BLOCKS, shards: int = 40, seed: int = SEED) -> DataFrame:
+    """The rows of the mix: every document as often as it is taken, a part of a document counting as the whole.
+
+    A source gives all its documents for each whole round, and once more those up to its cut, the last document in seeded
+    order of which it takes a word. The cut is one key a source, so each row is decided where it lies, against a table of
+    one row per source: no text is shuffled. Documents that give no words are left out. Rows that agree in doc_id, source
+    and size are alike to the cut.
+    """
+    laid, facts = _plan(documents, blocks, shards, seed)
+    again = laid.join(facts, F.col("source").eqNullSafe(F.col("_of"))).filter(F.col("_from") < F.expr(_REST))
+    cuts = again.select("source", F.struct(*_order(seed)).alias("_key")).groupBy(F.col("source").alias("_s"))
+    cuts = cuts.agg(F.max("_key").alias("_cut"))
+    by_source = facts.join(cuts, F.col("_of").eqNullSafe(F.col("_s")), "left")
+    by_source = durable(by_source.select("_of", F.expr(_ROUNDS).alias("_rounds"), "_cut"))
+    rows = documents.select(
+        F.struct(*documents.columns).alias("_row"), "doc_id", "source", word_count(F.col("text")).alias("size")
+    )
+    decided = rows.filter("size > 0").join(by_source, F.col("source").eqNullSafe(F.col("_of")))
+    once_more = F.coalesce(F.struct(*_order(seed)) <= F.col("_cut"), F.lit(False)).cast("int")
+    copies = F.array_repeat(F.col("_row"), (F.col("_rounds") + once_more).cast("int"))
+    return decided.select(F.inline(copies))
+
+
+def mix(documents: DataFrame, blocks: int = BLOCKS, shards: int = 40, seed: int = SEED) -> DataFrame:
+    """doc_id, size, source, source_size, target and ``taken`` words of every document.
+
+    The words are divided into equal blocks, which the sources get by ``block_quotas``, small sources in finer blocks (see
+    ``wanted_words``); a source is thus within about a 256th of its target. The documents of a source are laid out in a
+    seeded order, cut into blocks, and its quota takes the blocks in that order, beginning again when the source is used
+    up, but never more than ``REPEATS`` times. A document at the end of the last block gives only the words inside it.
+
+    Null, empty and blank texts have size 0 and give nothing; null ids and sources are ordinary values; repeated rows
+    count each; an empty table gives an empty result. Equal rows may swap their places.
+    """
+    laid, facts = _plan(documents, blocks, shards, seed)
     joined = laid.join(facts, F.col("source").eqNullSafe(F.col("_of")))
-    rest = F.expr("if(source_size = 0, 0, _wanted % source_size)") - (F.col("_from") - F.col("_start"))
-    whole = F.expr("if(source_size = 0, 0, _wanted div source_size)") * F.col("size")
-    taken = whole + F.greatest(F.lit(0), F.least(F.col("size"), rest))
+    rest = F.expr(_REST) - F.col("_from")
+    taken = F.expr(_ROUNDS) * F.col("size") + F.greatest(F.lit(0), F.least(F.col("size"), rest))
     return joined.select("doc_id", "size", "source", "source_size", "target", taken.cast("long").alias("taken"))

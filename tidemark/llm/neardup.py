@@ -119,9 +119,9 @@ def _sketches(column: pa.Array) -> np.ndarray:
 
 
 def _sets(documents: DataFrame, wanted: DataFrame) -> DataFrame:
-    """node, n_shingles, signature, sketch and shingles of the classes ``wanted``, from their texts."""
-    keyed = wanted.select("node", "set_key", "n_shingles", "signature")
-    texts = documents.select(F.col("doc_id").cast("long").alias("node"), "text").join(keyed, "node")
+    """node, n_shingles, signature, sketch and shingles of the classes ``wanted``, from the texts of their smallest doc_id."""
+    keyed = wanted.select("doc_id", "node", "set_key", "n_shingles", "signature")
+    texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(keyed, "doc_id")
     names = ["node", "n_shingles", "signature"]
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -145,8 +145,8 @@ def _similar(one: np.ndarray, others: np.ndarray) -> np.ndarray:
     return near[(others[near] != rest).sum(axis=1) <= MOST_DIFFERENT]
 
 
-def _near(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose set sizes and sketches allow the similarity that links."""
+def _near(pairs: DataFrame, sets: DataFrame, sketches: bool) -> DataFrame:
+    """The pairs (a, b) whose set sizes, and with ``sketches`` whose sketches, allow the similarity that links."""
     for side in "ab":
         facts = sets.select(
             F.col("node").alias(side), F.col("n_shingles").alias(f"n_{side}"), F.col("sketch").alias(f"sketch_{side}")
@@ -160,6 +160,8 @@ def _near(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                 near = _similar(_sketches(batch.column("sketch_a")), _sketches(batch.column("sketch_b")))
                 yield batch.select(["a", "b"]).take(pa.array(near))
 
+    if not sketches:
+        return pairs.filter(sizes).select("a", "b")
     return pairs.filter(sizes).select("a", "b", "sketch_a", "sketch_b").mapInArrow(run, "a long, b long")
 
 
@@ -181,7 +183,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.select("a", "b", "set_a", "set_b").mapInArrow(compare, "a long, b long")
 
 
-def _across(shared: DataFrame, labels: DataFrame, sets: DataFrame, every: bool) -> DataFrame:
+def _across(shared: DataFrame, labels: DataFrame, sets: DataFrame, every: bool, sketches: bool) -> DataFrame:
     """Pairs (a, b) that share a key but not a component, and whose sizes and sketches are near.
 
     A key's classes are dealt into blocks of about ``_BLOCK``, and every two blocks meet in one task. There all
@@ -221,15 +223,15 @@ def _across(shared: DataFrame, labels: DataFrame, sets: DataFrame, every: bool)
             spots = np.stack([waiting[c].to_numpy() for c in group], axis=1)
             edges = np.flatnonzero((spots[1:] != spots[:-1]).any(axis=1)) + 1
             if len(edges):
-                yield from _meet(waiting.slice(0, edges[-1]), np.concatenate([[0], edges]), every)
+                yield from _meet(waiting.slice(0, edges[-1]), np.concatenate([[0], edges]), every, sketches)
                 waiting = waiting.slice(edges[-1])
         if waiting is not None and waiting.num_rows:
-            yield from _meet(waiting, np.array([0, waiting.num_rows]), every)
+            yield from _meet(waiting, np.array([0, waiting.num_rows]), every, sketches)
 
     return met.mapInArrow(compare, "a long, b long").distinct()
 
 
-def _meet(table: pa.Table, edges: np.ndarray, every: bool) -> Iterator[pa.RecordBatch]:
+def _meet(table: pa.Table, edges: np.ndarray, every: bool, sketched: bool) -> Iterator[pa.RecordBatch]:
     nodes, labels, sizes = (table[c].to_numpy() for c in ("node", "label", "n_shingles"))
     first, last, own, keys = (table[c].to_numpy() for c in ("_i", "_j", "_own", "key"))
     sketches = _sketches(table["sketch"].combine_chunks())
@@ -246,7 +248,8 @@ def _meet(table: pa.Table, edges: np.ndarray, every: bool) -> Iterator[pa.Record
             rest = rest[high * PART <= low * OF]
             if not len(rest):
                 continue
-            rest = rest[_similar(sketches[one], sketches[rest])]
+            if sketched:
+                rest = rest[_similar(sketches[one], sketches[rest])]
             if every:
                 # The first pattern that both agree in must be this key's.
                 agree = held[rest] == held[one]
@@ -261,47 +264,65 @@ def _meet(table: pa.Table, edges: np.ndarray, every: bool) -> Iterator[pa.Record
         yield pa.RecordBatch.from_arrays(columns, names=["a", "b"])
 
 
-def near_duplicates(documents: DataFrame) -> DataFrame:
+def _classes(known: DataFrame) -> DataFrame:
+    """node, set_key, n_shingles, signature and the smallest doc_id of each distinct shingle set; nodes are numbers."""
+    found = known.groupBy("set_key", "n_shingles", "signature").agg(F.min("doc_id").alias("doc_id"))
+    return durable(found.withColumn("node", F.monotonically_increasing_id()))
+
+
+def _same_document(known: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links (a, b) between the sets of a doc_id that has several texts."""
+    held = known.select("doc_id", "set_key").distinct()
+    several = held.groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("doc_id")
+    nodes = held.join(several, "doc_id").join(classes.select("set_key", "node"), "set_key").select("doc_id", "node")
+    first = nodes.groupBy("doc_id").agg(F.min("node").alias("a"))
+    return nodes.withColumnRenamed("node", "b").join(first, "doc_id").filter("a < b").select("a", "b")
+
+
+def near_duplicates(documents: DataFrame, sketches: bool = True) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every document.
 
-    Documents of equal shingle sets are one class, of which the smallest doc_id stands for all. Signatures of classes
-    are joined by ``index_keys``: any two that differ in at most 23 of the 60 indexed symbols share a key; at similarity 0.75
-    a pair shares none with a chance of 6e-6, and a more similar one far less. In the first round each class is compared
-    with the smallest class of several of its keys, and the links found make components. In the second each class is
-    compared with its nearest one of another component, key by key. In the third, where a key still holds several
-    components, all pairs across them whose sketches are near are compared. So in the end every two classes that share
-    a key are in one component or have been compared, and pairs within a component cost nothing. All links are confirmed
-    on the full sets.
+    Documents of equal shingle sets are one class. Signatures of classes are joined by ``index_keys``: any two that differ
+    in at most 23 of the 60 indexed symbols share a key; at similarity 0.75 a pair shares none with a chance of 6e-6, and a
+    more similar one far less. In the first round each class is compared with the smallest class of several of its keys, and
+    the links found make components. In the second each class is compared with its nearest one of another component, key
+    by key. In the third, where a key still holds several components, all pairs across them whose sketches are near are
+    compared. So in the end every two classes that share a key are in one component or have been compared, and pairs within
+    a component cost nothing. All links are confirmed on the full sets.
+
+    Sketches spare pairs the comparison of full sets that are far from similar; a pair at similarity 0.75 is spared wrongly
+    with a chance of 4e-6. Without ``sketches`` every pair across components that shares a key and whose sizes allow the
+    similarity is compared on full sets: nothing but a missing key can then hide a link, at the price of many more pairs.
 
     Rows without words (or text) have no shingles and are their own component, kept. A row without a doc_id is linked
     with nothing: its component_id is null and it is kept. Repeated rows get the same answer each. If a doc_id has
-    several texts, all share its component, and the one of the smallest set key is compared with others.
+    several texts, each is compared with others, and all are in one component.
     """
     found = durable(signatures(documents))
     known = found.filter(F.col("set_key").isNotNull() & F.col("doc_id").isNotNull())
-    reps = durable(known.groupBy("set_key").agg(F.min("doc_id").alias("node")))
-    one = reps.groupBy("node").agg(F.min("set_key").alias("set_key"))
-    classes = known.join(one.withColumnRenamed("node", "doc_id"), ["doc_id", "set_key"])
-    classes = classes.select(F.col("doc_id").alias("node"), "set_key", "n_shingles", "signature").dropDuplicates(["node"])
-    classes = durable(classes)
+    classes = _classes(known)
     keys = index_keys(classes)
     buckets = keys.groupBy("key").agg(F.min("node").alias("low"), F.count(F.lit(1)).alias("_n"))
     buckets = durable(buckets.filter("_n > 1").drop("_n"))
     shared = durable(keys.join(buckets, "key"))
     grouped = shared.select("node").distinct()
     sets = durable(_sets(documents, durable(classes.join(grouped, "node", "left_semi"))))
+    links = durable(_same_document(known, classes))
     stars = shared.filter("low < node").groupBy(F.col("low").alias("a"), F.col("node").alias("b")).count()
     stars = stars.filter(F.col("count") >= STAR_KEYS).select("a", "b")
-    links = durable(_confirmed(durable(_near(stars, sets)), sets))
+    links = durable(links.union(_confirmed(durable(_near(stars, sets, sketches)), sets)))
     labels = components(links)
     shared = shared.select("key", "node")
-    for every in (False, True):
-        more = durable(_confirmed(durable(_across(shared, labels, sets, every)), sets))
+    for every in (False, True) if sketches else (True,):
+        more = durable(_confirmed(durable(_across(shared, labels, sets, every, sketches)), sets))
         if not more.isEmpty():
             links = durable(links.union(more))
             labels = components(links)
-    answer = reps.join(labels, "node", "left").select("set_key", F.coalesce("label", "node").alias("_component"))
-    found = found.select("doc_id", "n_shingles", "set_key").join(durable(answer), "set_key", "left")
+    placed = classes.select("node", "set_key", "doc_id").join(labels, "node", "left")
+    placed = durable(placed.select("set_key", "doc_id", F.coalesce("label", "node").alias("label")))
+    smallest_id = placed.groupBy("label").agg(F.min("doc_id").alias("_component"))
+    answer = durable(placed.join(smallest_id, "label").select("set_key", "_component"))
+    found = found.select("doc_id", "n_shingles", "set_key").join(answer, "set_key", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("_component", "doc_id"))
     return found.select(
         "doc_id",
@@ -314,11 +335,13 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
 def one_of_each(documents: DataFrame) -> DataFrame:
     """One document of each group of near-duplicates, with all its columns: that of the smallest doc_id.
 
-    Of several rows with that doc_id the smallest row stays. Rows without a doc_id stay.
+    Of several rows with that doc_id the smallest row stays. Rows without a doc_id stay. The texts meet the kept ids in
+    one shuffle at every size, so what is moved grows as the input does.
     """
     found = near_duplicates(documents).filter(F.col("kept") & F.col("doc_id").isNotNull())
-    kept = durable(found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n")))
-    single = documents.join(kept.filter("_n = 1"), "doc_id", "left_semi")
-    several = documents.join(durable(kept.filter("_n > 1")), "doc_id", "left_semi")
-    smallest = several.groupBy("doc_id").agg(F.min(F.struct(*documents.columns)).alias("_row")).select("_row.*")
-    return single.unionByName(smallest).unionByName(documents.filter(F.col("doc_id").isNull()))
+    kept = durable(found.groupBy(F.col("doc_id").alias("_kept")).agg(F.count(F.lit(1)).alias("_n")))
+    rows = documents.select(F.struct(*documents.columns).alias("_row"), F.col("doc_id").cast("long").alias("_id"))
+    held = rows.filter("_id IS NOT NULL").join(kept.hint("shuffle_hash"), F.col("_id") == F.col("_kept"))
+    repeated = held.filter("_n > 1").groupBy("_id").agg(F.min("_row").alias("_row"))
+    whole = held.filter("_n = 1").select("_row").unionByName(repeated.select("_row"))
+    return whole.unionByName(rows.filter("_id IS NULL").select("_row")).select("_row.*")

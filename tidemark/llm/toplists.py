@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from tidemark.durable import durable
 from tidemark.llm.vectors import matrix, usable
 
+# Whole numbers below this are exact as doubles.
+_EXACT = float(1 << 53)
+
 
 def scan_lists(
     query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, values: np.ndarray, k: int, rounds: int = 4
@@ -85,7 +88,8 @@ def top_scores(
 
     Equal scores go to the smaller id. Vectors that are null, empty or hold null or non-finite components, and rows
     without an id, take no part; zero vectors do. Rows that repeat an id count once (``usable``). Only vectors of one
-    length are compared. Queries with fewer than ``k`` candidates return what there is.
+    length are compared. Queries with fewer than ``k`` candidates return what there is. Scores are sums of integers in
+    doubles; vectors so long that a sum could reach 2^53, where doubles stop being exact, are an error.
     """
     chosen = rows.withColumn("_asks", is_query).select(id_col, vector_col, "_asks")
     whole = F.transform("vec", lambda x: F.floor(x * scale).cast("double"))
@@ -111,6 +115,9 @@ def top_scores(
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
         ids, table = values["id"].to_numpy(), matrix(values["vec"])
         names, asks = queries["id"].to_numpy(), matrix(queries["vec"])
+        # No sum of products exceeds the product of the lengths, so below this all sums are exact integers.
+        if np.linalg.norm(table, axis=1).max() * np.linalg.norm(asks, axis=1).max() >= _EXACT:
+            raise ValueError("components are too large for exact scores")
         parts = range(0, len(names), query_block)
         return pd.concat(
             [scan_lists(names[p : p + query_block], asks[p : p + query_block], ids, table, k) for p in parts]

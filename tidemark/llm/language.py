@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 import numpy as np
 import pandas as pd
@@ -15,6 +17,8 @@ from tidemark.llm.flat import flat, mixed
 
 UNKNOWN = "und"
 _WINDOW = 1 << 20
+# Languages in one word of the filter
+_BITS = 63
 # Bytes that are no letters become spaces; bytes above 127 belong to letters of other alphabets or to other signs.
 _FOLD = np.array([b if b > 127 or chr(b).isalpha() else 32 for b in range(256)], np.uint8)
 
@@ -23,7 +27,8 @@ _FOLD = np.array([b if b > 127 or chr(b).isalpha() else 32 for b in range(256)],
 class LanguageFilter:
     """``words[h]`` holds one bit per language: set if some n-gram of the language hashes to ``h``.
 
-    One look-up at each of the n-gram's ``probes`` places, ANDed, gives the set of all languages that hold it.
+    One look-up at each of the n-gram's ``probes`` places, ANDed, gives the set of all languages that hold it. Language i
+    has bit i % ``_BITS`` of column i // ``_BITS``: there are as many columns as the languages need.
     """
 
     languages: list[str]
@@ -32,8 +37,12 @@ class LanguageFilter:
     probes: int
 
     def __post_init__(self) -> None:
-        bits = [(self.words >> self.words.dtype.type(i) & self.words.dtype.type(1)).mean() for i in range(len(self.languages))]
-        self.false_positive = np.array(bits) ** self.probes
+        self.false_positive = np.array([self.bit(self.words, i).mean() for i in range(len(self.languages))]) ** self.probes
+
+    def bit(self, found: np.ndarray, language: int) -> np.ndarray:
+        """Whether each row of words has the bit of a language."""
+        kind = self.words.dtype.type
+        return found[:, language // _BITS] >> kind(language % _BITS) & kind(1)
 
 
 def ngrams(data: np.ndarray, order: int) -> np.ndarray:
@@ -54,6 +63,28 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 4 == 2
 
 
+def smallest_hashes(ids: DataFrame, per_language: int, seed: int) -> DataFrame | None:
+    """The ``per_language`` rows (doc_id, lang) of smallest hash of each language; None without rows.
+
+    Hashes are spread evenly, so a limit a little above the wanted share of a language's rows leaves the smallest ones and
+    few more, which are ranked. So no language is sorted as a whole. If a limit leaves too few after all, limits double.
+    """
+    sizes = {r["lang"]: r["n"] for r in ids.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if not sizes:
+        return None
+    spread = F.shiftrightunsigned(F.xxhash64("doc_id", F.lit(seed)), 11) / F.lit(float(1 << 53))
+    wanted = 1.5 * per_language + 100
+    while True:
+        limits = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, min(2.0, wanted / n))])
+        near = ids.withColumn("_h", spread).filter(F.col("_h") < F.element_at(limits, F.col("lang")))
+        left = {r["lang"]: r["n"] for r in near.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+        if all(left.get(lang, 0) >= min(per_language, n) for lang, n in sizes.items()):
+            break
+        wanted *= 2
+    order = Window.partitionBy("lang").orderBy("_h", "doc_id")
+    return near.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= per_language).select("doc_id", "lang")
+
+
 def fit(
     labelled: DataFrame,
     per_language: int = 1500,
@@ -68,12 +99,11 @@ def fit(
 
     An n-gram belongs to a language if at least ``least_documents`` of its sampled documents hold it, and if its share
     of them is at least ``least_share`` of the share in any other language. The filter has ``slots`` entries whatever
-    the sample, so what reaches the driver and is sent to the tasks is bounded. Up to 63 languages. None if there
-    is nothing to learn from.
+    the sample, so what reaches the driver and is sent to the tasks is bounded. None if there is nothing to learn from.
     """
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", F.lit(seed)), "doc_id")
-    ids = labelled.select("doc_id", "lang").distinct().withColumn("_n", F.row_number().over(order))
-    ids = ids.filter(F.col("_n") <= per_language).select("doc_id", "lang")
+    ids = smallest_hashes(labelled.select("doc_id", "lang").distinct(), per_language, seed)
+    if ids is None:
+        return None
     sample = labelled.join(ids, ["doc_id", "lang"], "left_semi").select("lang", F.lower("text").alias("text"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -97,31 +127,39 @@ def fit(
     languages = sorted(sizes)
     if not languages:
         return None
-    if len(languages) > 63:
-        raise ValueError("a language bitmask has room for 63 languages")
     size = F.element_at(F.create_map(*[F.lit(x) for lang in languages for x in (lang, sizes[lang])]), F.col("lang"))
-    bit = F.element_at(F.create_map(*[F.lit(x) for i, lang in enumerate(languages) for x in (lang, 1 << i)]), F.col("lang"))
-    share = held.select("gram", "n", bit.cast("long").alias("bit"), (F.col("n") / size).alias("share"))
+    number = F.element_at(F.create_map(*[F.lit(x) for i, lang in enumerate(languages) for x in (lang, i)]), F.col("lang"))
+    share = held.select("gram", "n", number.alias("number"), (F.col("n") / size).alias("share"))
     most = share.groupBy("gram").agg(
         F.max("share").alias("most"),
-        *[F.max(F.when((F.col("bit") == 1 << i) & (F.col("n") >= least_documents), F.col("share"))).alias(f"s{i}") for i in range(len(languages))],
+        *[
+            F.max(F.when((F.col("number") == i) & (F.col("n") >= least_documents), F.col("share"))).alias(f"s{i}")
+            for i in range(len(languages))
+        ],
     )
-    mask = sum((F.when(F.col(f"s{i}") >= least_share * F.col("most"), F.lit(1 << i)).otherwise(F.lit(0)) for i in range(len(languages))), F.lit(0))
-    owned = most.select("gram", mask.cast("long").alias("mask")).filter("mask <> 0")
+    columns = -(-len(languages) // _BITS)
+    masks = []
+    for column in range(columns):
+        here = range(column * _BITS, min((column + 1) * _BITS, len(languages)))
+        bits = [F.when(F.col(f"s{i}") >= least_share * F.col("most"), F.lit(1 << i % _BITS)).otherwise(F.lit(0)) for i in here]
+        masks.append(sum(bits, F.lit(0)).cast("long").alias(f"mask{column}"))
+    names = [f"mask{column}" for column in range(columns)]
+    owned = most.select("gram", *masks).filter(reduce(or_, [F.col(name) != 0 for name in names]))
     slot = [F.shiftrightunsigned("gram", 24 * i).bitwiseAND(F.lit(slots - 1)) for i in range(probes)]
-    filled = owned.select(F.explode(F.array(*slot)).alias("slot"), "mask").groupBy("slot").agg(F.bit_or("mask").alias("mask"))
+    filled = owned.select(F.explode(F.array(*slot)).alias("slot"), *names).groupBy("slot")
+    filled = filled.agg(*[F.bit_or(name).alias(name) for name in names])
     chunk = 1 << 13
     kind = np.uint8 if len(languages) <= 8 else np.uint64
 
     def dense(part: pd.DataFrame) -> pd.DataFrame:
-        out = np.zeros(chunk, kind)
-        out[part["slot"].to_numpy() % chunk] = part["mask"].to_numpy()
+        out = np.zeros((chunk, columns), kind)
+        out[part["slot"].to_numpy() % chunk] = part[names].to_numpy()
         return pd.DataFrame({"chunk": [part["slot"].iloc[0] // chunk], "words": [out.tobytes()]})
 
-    words = np.zeros(slots, kind)
+    words = np.zeros((slots, columns), kind)
     chunks = filled.groupBy((F.col("slot") / chunk).cast("long").alias("_chunk")).applyInPandas(dense, "chunk long, words binary")
     for row in chunks.collect():
-        words[row["chunk"] * chunk : (row["chunk"] + 1) * chunk] = np.frombuffer(row["words"], kind)
+        words[row["chunk"] * chunk : (row["chunk"] + 1) * chunk] = np.frombuffer(row["words"], kind).reshape(-1, columns)
     return LanguageFilter(languages, words, orders, probes)
 
 
@@ -129,7 +167,6 @@ def evidence(model: LanguageFilter, data: np.ndarray, starts: np.ndarray) -> tup
     """Per text: how many n-grams each language holds, and how many there are. Works in windows of fixed size."""
     hits = np.zeros((len(starts) - 1, len(model.languages)))
     total = np.zeros(len(starts) - 1)
-    one = model.words.dtype.type(1)
     for order in model.orders:
         ends = np.maximum(starts[1:] - order + 1, starts[:-1])
         total += ends - starts[:-1]
@@ -142,7 +179,7 @@ def evidence(model: LanguageFilter, data: np.ndarray, starts: np.ndarray) -> tup
             low, high = np.searchsorted(ends, a, "right"), np.searchsorted(starts[:-1], a + len(hashes), "left")
             first, last = np.clip(starts[low:high] - a, 0, len(hashes)), np.clip(ends[low:high] - a, 0, len(hashes))
             for i in range(len(model.languages)):
-                upto = np.concatenate([[0], np.cumsum(found >> model.words.dtype.type(i) & one, dtype=np.int64)])
+                upto = np.concatenate([[0], np.cumsum(model.bit(found, i), dtype=np.int64)])
                 hits[low:high, i] += upto[last] - upto[first]
     return hits, total
 

@@ -20,28 +20,32 @@ from tidemark.durable import durable, shared_folder
 # Fixed values of the seekable format: skippable frame, footer, one entry per frame of two 32-bit sizes
 _SKIPPABLE, _SEEKABLE, _ENTRY = 0x184D2A5E, 0x8F92EAB1, struct.Struct("<II")
 _HEAD, _FOOT = struct.Struct("<II"), struct.Struct("<IBI")
+# Bytes of records that a task reads back
+_READ_BYTES = 1 << 24
 _NAMES = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")
 _INDEX = "page_id long, bundle string, frame int, start int, length int"
 _RECORD = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
 
 
-def record_id(page_id: int) -> str:
-    return f"<urn:uuid:{uuid.uuid5(_NAMES, f'page:{page_id}')}>"
+def record_id(page_id: int | None, url: str | None = None, payload: bytes = b"") -> str:
+    """The record's name: by its page_id, or without one by what it holds."""
+    name = f"page:{page_id}" if page_id is not None else f"nameless:{digest(payload)}:{url or ''}"
+    return f"<urn:uuid:{uuid.uuid5(_NAMES, name)}>"
 
 
 def digest(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def warc_record(page_id: int, url: str | None, payload: bytes, refers_to: int | None, date: str) -> bytes:
+def warc_record(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None, date: str) -> bytes:
     """One WARC/1.1 record; a revisit names the record with the same payload and has no payload of its own."""
     fields = [
         ("WARC-Type", "response" if refers_to is None else "revisit"),
-        ("WARC-Record-ID", record_id(page_id)),
+        ("WARC-Record-ID", record_id(page_id, url, payload)),
         ("WARC-Date", date),
         ("WARC-Target-URI", (url or "").replace("\r", "%0D").replace("\n", "%0A")),
         ("WARC-Payload-Digest", f"sha1:{digest(payload)}"),
-        ("X-Page-ID", str(page_id)),
+        *([] if page_id is None else [("X-Page-ID", str(page_id))]),
         ("X-Payload-Length", str(len(payload))),
         ("Content-Type", "text/html"),
     ]
@@ -122,14 +126,20 @@ class BundleReader:
         return self.unpack(self.file.read(packed), max_output_size=full)
 
 
-def _revisits(pages: DataFrame, least_bytes: int) -> DataFrame:
-    """page_id and refers_to of the pages whose payload another record with a larger id has too."""
-    payload = F.coalesce("html", F.lit("")).cast("binary")
-    known = pages.select("page_id", F.sha1(payload).alias("_sha1"), F.octet_length(payload).alias("_bytes"))
-    known = durable(known.filter((F.col("_bytes") >= least_bytes) & F.col("page_id").isNotNull()))
-    shared = known.groupBy("_sha1").agg(F.max("page_id").alias("refers_to"), F.count(F.lit(1)).alias("_n"))
-    shared = durable(shared.filter("_n > 1").drop("_n"))
-    return known.join(shared, "_sha1").filter("page_id < refers_to").select("page_id", "refers_to").distinct()
+def _with_referred(pages: DataFrame, least_bytes: int) -> DataFrame:
+    """page_id, url, html and refers_to, the response that a page's record revisits.
+
+    Texts join by page_id. Rows without one join by their payload; any page with the payload that has an id is larger.
+    """
+    wide = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"))
+    payload = F.col("html").cast("binary")
+    facts = wide.select("page_id", F.sha1(payload).alias("_sha1"), F.octet_length(payload).alias("_bytes"))
+    known = durable(facts.filter((F.col("_bytes") >= least_bytes) & F.col("page_id").isNotNull()))
+    largest = durable(known.groupBy("_sha1").agg(F.max("page_id").alias("refers_to"), F.count(F.lit(1)).alias("_n")))
+    shared = largest.filter("_n > 1").drop("_n")
+    revisits = known.join(shared, "_sha1").filter("page_id < refers_to").select("page_id", "refers_to").distinct()
+    nameless = wide.filter("page_id IS NULL").withColumn("_sha1", F.sha1(payload)).join(largest.drop("_n"), "_sha1", "left")
+    return wide.filter("page_id IS NOT NULL").join(revisits, "page_id", "left").unionByName(nameless.drop("_sha1"))
 
 
 def write_bundles(
@@ -148,8 +158,7 @@ def write_bundles(
     then renamed: a task that is run again replaces what it wrote with the same content. The index is stored before
     it is used, so bundles are written once. ``folder`` is opened by its URI on the executors; it must be shared.
     """
-    wide = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"))
-    ready = wide.join(_revisits(pages, least_bytes), "page_id", "left")
+    ready = _with_referred(pages, least_bytes)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files, root = pa.fs.FileSystem.from_uri(folder)
@@ -189,7 +198,10 @@ def read_records(index: DataFrame, folder: str) -> DataFrame:
     The index rows of a frame are brought together, and a task opens a bundle once for all its frames. A response's
     figures come from its payload; a revisit's are those that its record states of the payload it refers to.
     """
-    dealt = index.repartition("bundle", "frame").sortWithinPartitions("bundle", "frame", "start")
+    # As many tasks as the records' bytes ask for: the index is small, and sized by itself it would be a single task.
+    size = index.agg(F.sum("length")).first()[0] or 0
+    parts = max(1, -(-size // _READ_BYTES))
+    dealt = index.repartition(parts, "bundle", "frame").sortWithinPartitions("bundle", "frame", "start")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files, root = pa.fs.FileSystem.from_uri(folder)
@@ -211,7 +223,8 @@ def read_records(index: DataFrame, folder: str) -> DataFrame:
                     length, of = len(payload), None
                 else:
                     length, of = int(fields["X-Payload-Length"]), int(fields["X-Refers-To-Page-ID"])
-                rows.append((int(fields["X-Page-ID"]), length, stated, fields["WARC-Type"], of))
+                page_id = int(fields["X-Page-ID"]) if "X-Page-ID" in fields else None
+                rows.append((page_id, length, stated, fields["WARC-Type"], of))
             kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64())
             names = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
             columns = zip(*rows, strict=True) if rows else [[]] * 5
@@ -223,11 +236,11 @@ def read_records(index: DataFrame, folder: str) -> DataFrame:
 def archive_pages(pages: DataFrame, folder: str | None = None) -> DataFrame:
     """Write every page to bundles and read all of them back (``read_records``).
 
-    A null html is an empty payload. Rows without a page_id have no record id and are left out; repeated rows are
-    responses each when their id is the largest of their payload, else revisits each; texts may have any length below
-    2 GiB; an empty table writes nothing. ``folder`` defaults to a new one in the session's shared folder.
+    A null html is an empty payload. Rows without a page_id are written without one, as revisits of the largest page_id of
+    their payload or else as responses; repeated rows are responses each when their id is the largest of their payload, else
+    revisits each; texts may have any length below 2 GiB; an empty table writes nothing. ``folder`` defaults to a new one in the session's shared folder.
     """
     folder = folder or shared_folder(pages.sparkSession, "warc")
     if "://" not in folder:
         folder = f"file://{folder.removeprefix('file:')}"
-    return read_records(write_bundles(pages.filter(F.col("page_id").isNotNull()), folder), folder)
+    return read_records(write_bundles(pages, folder), folder)

@@ -6,6 +6,7 @@ import zlib
 from array import array
 
 import corpus_pipeline
+import numpy as np
 import pytest
 import sentencepiece
 
@@ -30,6 +31,27 @@ def test_shards_are_even_gapless_and_mixed(spark, odd_documents):
             assert (r.size, r.text_crc32, r.law, r.grown_shard) == (len(data) + 16, zlib.crc32(data), "rows", None)
 
 
+@pytest.mark.parametrize(("rows", "shards"), [(97, 7), (40, 40), (5, 8), (300, 1)])
+def test_shards_equal_a_plain_interleave(spark, rows, shards):
+    """Row by row: shuffled ranks within each source, sorted by fractional rank, cut into even runs."""
+    table = spark.range(rows).selectExpr(
+        "id as doc_id", "concat('text ', id * 7) as text", "case when id % 3 = 0 then 'hot' when id % 11 = 1 then null else concat('s', id % 4) end as source"
+    )
+    got = sharding.shard_documents(table, shards)
+    hashed = got.selectExpr("*", "xxhash64(17, doc_id, text_crc32, size) as h").collect()
+    sources: dict = {}
+    for r in sorted(hashed, key=lambda r: (r.source is not None, r.source or "", r.h, r.doc_id)):
+        sources.setdefault(r.source, []).append(r)
+    order = []
+    for place, (_, members) in enumerate(sources.items()):
+        order += [((2 * i + 1) / (2 * len(members)), place, i, r.doc_id) for i, r in enumerate(members)]
+    want, laid = {}, [doc_id for *_, doc_id in sorted(order)]
+    for position, doc_id in enumerate(laid):
+        shard = position * shards // rows
+        want[doc_id] = (shard, position - -(-shard * rows // shards))
+    assert {r.doc_id: (r.shard, r.slot) for r in hashed} == want
+
+
 def test_every_shard_has_the_mixture(spark):
     rows = spark.range(3000).selectExpr(
         "id as doc_id", "cast(id as string) as text", "case when id % 3 = 0 then 'hot' else concat('s', id % 7) end as source"
@@ -142,6 +164,49 @@ def test_language_of_odd_documents_and_accuracy(spark, odd_documents):
     assert sum(r.lang == r.lang_pred for r in tested) >= 0.99 * len(tested) > 100
 
 
+def test_sample_is_the_smallest_hashes(spark):
+    ids = spark.range(9000).selectExpr("id as doc_id", "case when id % 3 = 0 then 'hot' else concat('l', id % 5) end as lang")
+    got = language.smallest_hashes(ids, 700, 5)
+    hashed = ids.selectExpr("doc_id", "lang", "shiftrightunsigned(xxhash64(doc_id, 5), 11) as h").collect()
+    by_lang: dict = {}
+    for r in sorted(hashed, key=lambda r: (r.h, r.doc_id)):
+        by_lang.setdefault(r.lang, []).append(r.doc_id)
+    assert sorted(map(tuple, got.collect())) == sorted((i, lang) for lang, found in by_lang.items() for i in found[:700])
+    assert language.smallest_hashes(ids.limit(0), 700, 5) is None
+
+
+def test_evidence_of_many_languages_against_plain_sets(spark):
+    """70 languages of their own words: filter bits, counts and correction against sets of n-grams."""
+    words = {f"x{i:02d}": [f"{chr(97 + i % 26)}{chr(98 + i // 26)}{chr(99 + j)}wort" for j in range(12)] for i in range(70)}
+    rows = [(i * 10 + d, " ".join(w[(d + j) % 12] for j in range(10)), lang) for i, (lang, w) in enumerate(words.items()) for d in range(5)]
+    model = language.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), slots=1 << 16)
+    assert model.languages == sorted(words) and model.words.shape == (1 << 16, 2)
+    holders: dict = {}
+    for _, text, lang in rows:
+        data = np.frombuffer(text.encode(), np.uint8)
+        for gram in {g for n in model.orders for g in language.ngrams(data, n).tolist()}:
+            holders.setdefault(gram, {}).setdefault(lang, 0)
+            holders[gram][lang] += 1
+    bits = [set() for _ in words]
+    for gram, counts in holders.items():
+        most = max(counts.values())
+        for lang, n in counts.items():
+            if n >= 2 and n >= 0.2 * most:
+                places = language.places(np.array([gram], np.uint64), model.probes, 1 << 16)
+                bits[model.languages.index(lang)] |= {int(p[0]) for p in places}
+    for i, wanted in enumerate(bits):
+        assert set(np.flatnonzero(model.bit(model.words, i)).tolist()) == wanted
+    text = np.frombuffer(rows[335][1].encode(), np.uint8)
+    hits, total = language.evidence(model, text, np.array([0, len(text)]))
+    grams = [g for n in model.orders for g in language.ngrams(text, n).tolist()]
+    assert total[0] == len(grams)
+    for i in range(70):
+        inside = [all(int(p[0]) in bits[i] for p in language.places(np.array([g], np.uint64), model.probes, 1 << 16)) for g in grams]
+        assert hits[0, i] == sum(inside)
+    told = language.predict(spark.createDataFrame(rows, "doc_id long, text string, lang string"), model).collect()
+    assert all(r.lang == r.lang_pred for r in told)
+
+
 def test_pieces_equal_the_library(spark, odd_documents):
     library = sentencepiece.SentencePieceProcessor(model_file=piece_model())
     texts = {r.doc_id: r.text or "" for r in odd_documents.collect() if r.doc_id is not None}

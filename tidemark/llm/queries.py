@@ -126,15 +126,15 @@ QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <=
 # Base 32: character i stands for bits 5i to 5i + 4, found in the hex digits 5i / 4 and the next.
 _ARCHIVE = """
 WITH paid AS (
-  SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS h FROM pages WHERE page_id IS NOT NULL
+  SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS h FROM pages
 ), largest AS (SELECT h, max(page_id) AS m FROM paid GROUP BY h)
 SELECT page_id, CAST(octet_length(encode(payload)) AS BIGINT) AS payload_bytes,
   array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(1 + (
     (((strpos('0123456789abcdef', substr(h, CAST(1 + (5 * i) // 4 AS INTEGER), 1)) - 1) * 16
       + strpos('0123456789abcdef', substr(h, CAST(2 + (5 * i) // 4 AS INTEGER), 1)) - 1) >> CAST(3 - (5 * i) % 4 AS INTEGER))
     & 31) AS INTEGER), 1)), '') AS payload_digest,
-  CASE WHEN page_id = m THEN 'response' ELSE 'revisit' END AS record_type,
-  CASE WHEN page_id <> m THEN m END AS refers_to
+  CASE WHEN m IS NULL OR page_id = m THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id IS DISTINCT FROM m THEN m END AS refers_to
 FROM paid JOIN largest USING (h)
 """
 
@@ -158,6 +158,29 @@ SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id, doc_id = comp
 FROM sets JOIN smallest USING (doc_id)
 """
 
+_SHINGLES = "list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' '))"
+_WORDS = r"list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '')"
+_NOTICES = ", ".join("(" + ", ".join("'" + part.replace("'", "''") + "'" for part in pair) + ")" for pair in licenses.NOTICES)
+
+# Every window of a template's class that holds one of its shingles, by plain containment
+_LICENSES = f"""
+WITH notices(license, text) AS (VALUES {_NOTICES}
+), parts AS (SELECT license, list_distinct({_SHINGLES}) AS s FROM (SELECT license, {_WORDS} AS w FROM notices)
+), sought AS (SELECT license, len(s) AS n, CAST(pow(2, ceil(log2(len(s)))) AS BIGINT) AS c, unnest(s) AS g FROM parts
+), texts AS (SELECT doc_id, row_number() OVER () AS r, {_WORDS} AS w FROM (
+    SELECT DISTINCT doc_id, text FROM documents WHERE text IS NOT NULL)
+), places AS (SELECT doc_id, r, unnest({_SHINGLES}) AS g, generate_subscripts({_SHINGLES}, 1) - 1 AS place FROM texts
+), met AS (
+  SELECT doc_id, r, license, n, c, g, unnest(list_distinct([place // c, greatest(0, place // c - 1)])) AS win
+  FROM places JOIN sought USING (g)
+), held AS (
+  SELECT doc_id, r, license, win * c AS first_word, count(DISTINCT g) / n AS containment
+  FROM met GROUP BY doc_id, r, license, n, c, win
+)
+SELECT doc_id, license, containment, first_word FROM held WHERE containment >= 0.75
+QUALIFY row_number() OVER (PARTITION BY doc_id, r, license ORDER BY containment DESC, first_word) = 1
+"""
+
 _REPEATED_LINES = r"""
 WITH split AS (
   SELECT doc_id, row_number() OVER () AS r, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents
@@ -177,6 +200,7 @@ FROM marked GROUP BY doc_id, r
 """
 
 ORACLES: dict[str, str] = {
+    "op3_scan_licenses": _LICENSES,
     "op11_drop_repeated_lines": _REPEATED_LINES,
     "op4_top_scores": _TOP_SCORES,
     "op6_archive_pages": _ARCHIVE,

@@ -242,7 +242,7 @@ def test_licenses_against_plain_containment(spark, odd_documents):
         words = re.findall(r"[^\W_]+", text.lower())
         return {tuple(words[i : i + 5]) for i in range(len(words) - 4)}
 
-    templates = {name: cut(text) for name, text in licenses.NOTICES}
+    templates = {name: cut(text) for name, text in licenses.TEMPLATES}
     want = {
         (r.doc_id, name)
         for r in documents.collect()
@@ -253,6 +253,32 @@ def test_licenses_against_plain_containment(spark, odd_documents):
     assert {(r.doc_id, r.license) for r in got} == want and len(got) == len(want) > 0
 
 
+def test_whole_license_texts_are_found_and_half_ones_are_not(spark):
+    filler = " ".join(f"w{i}" for i in range(700))
+    rows, want = [], set()
+    for at, (name, text) in enumerate(licenses.TEXTS):
+        words = text.split()
+        rows.append((10 * at, f"{filler} {text} {filler}"))
+        rows.append((10 * at + 1, " ".join([*words[: len(words) // 2], *filler.split()])))
+        rows.append((10 * at + 2, f"{filler[:50]} {' '.join(words[: 9 * len(words) // 10])}"))
+        want |= {(10 * at, name), (10 * at + 2, name)}
+    rows.append((1000, " ".join(f"{text} {filler}" for _ in range(30) for _, text in licenses.TEXTS)))
+    want |= {(1000, name) for name, _ in licenses.TEXTS}
+    texts = spark.createDataFrame(licenses.TEXTS, "license string, text string")
+    found = licenses.find_templates(spark.createDataFrame(rows, "doc_id long, text string"), texts).collect()
+    assert {(r.doc_id, r.license) for r in found} == want
+    assert all(r.containment == 1.0 for r in found if r.doc_id % 10 == 0)
+
+
+def test_bands_alone_retrieve_the_same_licenses(spark, odd_documents):
+    """All windows against windows that hold template shingles; and a table without templates."""
+    few = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    templates = licenses.notices(spark)
+    sparse, whole = (sorted(map(tuple, licenses.find_templates(few, templates, every).collect())) for every in (False, True))
+    assert sparse == whole != []
+    assert licenses.find_templates(odd_documents, templates.limit(0)).count() == 0
+
+
 def test_empty_tables(spark, odd_documents):
     empty = odd_documents.limit(0)
     assert sharding.shard_documents(empty).count() == 0

@@ -9,12 +9,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.durable import durable
+from tidemark.llm.license_texts import TEXTS
 
 WORDS = 5
 CONTAINED = 0.75
 BANDS = 48
+# Bits of the filter of template shingles (two of them a shingle), whatever the number of templates
+FILTER_BITS = 1 << 20
 
-# Texts of license notices
+# License notices of a sentence
 NOTICES = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0"),
     ("MIT", "Released under the MIT License"),
@@ -45,8 +48,12 @@ NOTICES = (
 )
 
 
+TEMPLATES = NOTICES + TEXTS
+
+
 def notices(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(NOTICES, "license string, text string")
+    """License texts and notices to look for."""
+    return spark.createDataFrame(TEMPLATES, "license string, text string")
 
 
 def words_of(text: Column) -> Column:
@@ -69,20 +76,81 @@ def band_minima(shingles: str) -> Column:
     )
 
 
-def find_templates(documents: DataFrame, templates: DataFrame) -> DataFrame:
+def _slots(shingle: Column) -> list[Column]:
+    """The two bits of a shingle in the filter, from separate parts of its hash."""
+    return [part.bitwiseAND(FILTER_BITS - 1) for part in (shingle, F.shiftrightunsigned(shingle, 32))]
+
+
+def shingle_filter(sought: DataFrame) -> Column:
+    """A constant array of longs, ``FILTER_BITS`` bits in all, in which the bits of all template shingles are set."""
+    bits = sought.select(F.explode("sought").alias("_s")).select(F.explode(F.array(*_slots(F.col("_s")))).alias("_bit"))
+    word = F.shiftright("_bit", 6).cast("int").alias("word")
+    bit = F.expr("shiftleft(1L, cast(_bit & 63 as int))")
+    found = {r["word"]: r["bits"] for r in bits.groupBy(word).agg(F.bit_or(bit).alias("bits")).collect()}
+    return F.split(F.lit(",".join(str(found.get(i, 0)) for i in range(FILTER_BITS // 64))), ",").cast("array<bigint>")
+
+
+def _may_be_sought(shingle: Column, bits: Column) -> Column:
+    """Whether both bits of the shingle are set: true for every template shingle, and for few others."""
+    first, second = (
+        F.getbit(F.get(bits, F.shiftright(slot, 6).cast("int")), slot.bitwiseAND(63).cast("int")) == 1 for slot in _slots(shingle)
+    )
+    return first & second
+
+
+def text_windows(texts: DataFrame, smallest: dict[int, int], bits: Column, every_window: bool) -> DataFrame:
+    """_doc, _text, class, first_word and shingles of the windows of each text, made where the text is read.
+
+    A window of a class is made if it holds as many places of template shingles as ``CONTAINED`` of the smallest template of
+    the class asks for; with ``every_window``, all are. Work and memory grow with the text, since a place lies in two
+    windows of a class.
+    """
+    hashed = texts.select("_doc", "_text", words_of(F.col("text")).alias("_words"))
+    hashed = hashed.select("_doc", "_text", shingle_hashes("_words").alias("_all"))
+    # No filter here: pushed below, it would hash the words again for every word.
+    if every_window:
+        places = F.when(F.size("_all") > 0, F.sequence(F.lit(0), F.size("_all") - 1)).otherwise(F.array().cast("array<int>"))
+        hashed = hashed.withColumn("_hits", places)
+    else:
+        hashed = hashed.withColumn("_marks", F.transform("_all", lambda s: _may_be_sought(s, bits)))
+        places = F.filter(F.sequence(F.lit(0), F.size("_marks") - 1), lambda at: F.coalesce(F.get("_marks", at), F.lit(False)))
+        hashed = hashed.withColumn("_hits", places)
+
+    def of_class(size: int) -> Column:
+        near = F.transform("_hits", lambda at: F.floor(at / size).cast("int"))
+        begins = F.array_distinct(F.concat(near, F.transform(near, lambda w: F.greatest(F.lit(0), w - 1))))
+        if not every_window:
+            held = lambda w: F.size(F.filter(F.slice("_marks", w * size + 1, 2 * size), lambda m: m))
+            begins = F.filter(begins, lambda w: held(w) >= F.lit(CONTAINED * smallest[size]))
+        return F.transform(
+            begins,
+            lambda w: F.struct(
+                F.lit(size).alias("class"),
+                (w * size).alias("first_word"),
+                F.slice("_all", w * size + 1, 2 * size).alias("shingles"),
+            ),
+        )
+
+    return hashed.select("_doc", "_text", F.inline(F.concat(*[of_class(size) for size in sorted(smallest)])))
+
+
+def find_templates(documents: DataFrame, templates: DataFrame, every_window: bool = False) -> DataFrame:
     """doc_id, license, containment, first_word: templates (license, text) of which documents hold most.
 
     A template of n shingles is sought in windows of twice c shingles, c the power of two not below n, that begin at every
     multiple of c: any run of c shingles lies whole in one of them. A window that holds ``CONTAINED`` of a template has
     a Jaccard similarity of at least 3/17 to it (n just above c/2), so one of 48 bands of one MinHash agrees with a
-    probability of at least 1 - (14/17)^48, above 0.9999; for a whole template of n = c it is 1 - 2^-48. A MinHash can
-    only agree if the window holds a shingle of the template, so windows without any are not made: the scan keeps only
-    places of template shingles. Retrieved templates are verified by the exact share of their distinct shingles in the
-    window. The best window counts, the first of equals; ``first_word`` is its first word's place (from 0).
+    probability of at least 1 - (14/17)^48, above 0.9999; for a whole template of n = c it is 1 - 2^-48. Templates whose
+    bands agree are verified by the exact share of their distinct shingles in the window. The best window counts, the first
+    of equals; ``first_word`` is its first word's place (from 0).
+
+    Texts are read once and move nowhere: windows too poor in template shingles to hold any template are not made, which
+    a constant filter of fixed size tells where the text is read (a fuller filter only makes more windows). With
+    ``every_window`` all windows are made and the bands alone retrieve; the result is the same.
 
     Templates of fewer than five words are refused by an error, as they have no shingle. Null and empty texts hold
     nothing; rows with a null doc_id are scanned like others; repeated rows give one result; other columns are not
-    looked at. A shared notice on very many documents makes one row for each of them.
+    looked at. Without templates nothing is found. A shared notice on very many documents makes one row for each of them.
     """
     sought = templates.select("license", words_of(F.col("text")).alias("words"))
     sought = sought.select("license", F.array_distinct(shingle_hashes("words")).alias("sought"))
@@ -90,31 +158,14 @@ def find_templates(documents: DataFrame, templates: DataFrame) -> DataFrame:
     sought = durable(sought.select("license", "sought", F.when(F.size("sought") > 0, size_class).alias("class")))
     if not sought.filter("class is null").isEmpty():
         raise ValueError("a template has fewer than five words")
-    marks = durable(sought.select(F.explode("sought").alias("shingle"), "class").distinct())
-    ids = ["_doc", "_text"]
+    by_class = sought.groupBy("class").agg(F.min(F.size("sought")).alias("least")).collect()  # one row a power of two
+    smallest = {r["class"]: r["least"] for r in by_class} or {1: 1}
     texts = documents.filter(F.col("text").isNotNull()).select(
         F.col("doc_id").alias("_doc"), F.xxhash64("text").alias("_text"), "text"
     )
-    every = texts.select(*ids, words_of(F.col("text")).alias("words"))
-    every = every.select(*ids, F.posexplode(shingle_hashes("words")).alias("at", "shingle"))
-    # A place lies in two windows of each class: the one that begins at the multiple before it and the one before that.
-    window = F.explode(F.array_distinct(F.array(F.expr("at div class"), F.greatest(F.lit(0), F.expr("at div class - 1")))))
-    places = every.join(marks, "shingle").select(*ids, "class", window.alias("window")).distinct()
-    held = places.groupBy(*ids).agg(F.collect_set(F.struct("class", "window")).alias("_windows"))
-    held = held.select(F.col("_doc").alias("_d"), F.col("_text").alias("_t"), "_windows")
-    whole = texts.join(durable(held), F.col("_doc").eqNullSafe(F.col("_d")) & (F.col("_text") == F.col("_t")))
-    whole = whole.select(*ids, words_of(F.col("text")).alias("words"), "_windows")
-    whole = whole.select(*ids, shingle_hashes("words").alias("_all"), "_windows")
-    cut = F.transform(
-        "_windows",
-        lambda w: F.struct(
-            w["class"].alias("class"),
-            (w["window"] * w["class"]).alias("first_word"),
-            F.slice("_all", (w["window"] * w["class"] + 1).cast("int"), w["class"] * 2).alias("shingles"),
-        ),
-    )
-    windows = whole.select(*ids, F.inline(cut))
-    asked = windows.select(*ids, "class", "first_word", "shingles", F.posexplode(band_minima("shingles")).alias("band", "low"))
+    windows = text_windows(texts, smallest, shingle_filter(sought), every_window)
+    key = ["_doc", "_text", "class", "first_word"]
+    asked = windows.select(*key, "shingles", F.posexplode(band_minima("shingles")).alias("band", "low"))
     offered = sought.select("license", "class", "sought", F.posexplode(band_minima("sought")).alias("band", "low"))
     met = asked.join(offered, ["class", "band", "low"])
     share = F.size(F.array_intersect("shingles", "sought")) / F.size("sought")

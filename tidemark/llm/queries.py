@@ -160,7 +160,7 @@ FROM sets JOIN smallest USING (doc_id)
 
 _SHINGLES = "list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' '))"
 _WORDS = r"list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '')"
-_NOTICES = ", ".join("(" + ", ".join("'" + part.replace("'", "''") + "'" for part in pair) + ")" for pair in licenses.NOTICES)
+_NOTICES = ", ".join("(" + ", ".join("'" + part.replace("'", "''") + "'" for part in pair) + ")" for pair in licenses.TEMPLATES)
 
 # Every window of a template's class that holds one of its shingles, by plain containment
 _LICENSES = f"""

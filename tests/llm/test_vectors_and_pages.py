@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import html
+import random
 import re
 
 import numpy as np
@@ -158,6 +159,61 @@ def test_repeated_runs_of_a_host_go_where_no_main_part_is_named(spark):
     assert got[9] == menu
 
 
+def _plain_boilerplate(streams, length, least_pages, least_share):
+    """Covered tokens of a host's pages: every suffix in order, longest prefix it shares with enough distinct pages."""
+    order = sorted((tuple(words[i:]), page, i) for page, words in streams.items() for i in range(len(words)))
+    need = max(least_pages, least_share * len(streams))
+    covered = {page: [False] * len(words) for page, words in streams.items()}
+    for suffix, page, i in order:
+        longest = 0
+        for size in range(length, len(suffix) + 1):
+            if len({p for other, p, _ in order if other[:size] == suffix[:size]}) < need:
+                break
+            longest = size
+        covered[page][i : i + longest] = [True] * longest
+    return covered
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_runs_equal_a_plain_suffix_array_of_each_host(spark, seed):
+    ship(spark)
+    dice = random.Random(seed)
+    shared = [" ".join(dice.choice("abcdefgh") for _ in range(dice.randint(5, 12))) for _ in range(6)]
+    rows, streams = [], {}
+    for page in range(16):
+        host = "one.org" if page % 3 else "two.org"
+        texts = [dice.choice(shared) if dice.random() < 0.7 else " ".join(dice.choice("abcdefgh") for _ in range(9)) for _ in range(4)]
+        rows.append((page, f"http://{host}/{page}", "".join(f"<div>{t}</div>" for t in texts)))
+        streams.setdefault(host, {})[page] = texts
+    table = spark.createDataFrame([*rows, *rows[:2]], "page_id long, url string, html string").repartition(3)
+    got = {r.page_id: r.text for r in extract.extract_pages(table, length=6).collect()}
+    dropped = 0
+    for pages in streams.values():
+        covered = _plain_boilerplate({p: " ".join(t).split() for p, t in pages.items()}, 6, 3, 0.1)
+        for page, texts in pages.items():
+            at, kept = 0, []
+            for text in texts:
+                size = len(text.split())
+                if sum(covered[page][at : at + size]) < 0.8 * size:
+                    kept.append(text)
+                at += size
+            dropped += len(texts) - len(kept)
+            assert got[page] == "\n".join(kept)
+    assert dropped > 0
+
+
+def test_repeated_rows_and_ids_on_two_hosts_are_no_boilerplate(spark):
+    ship(spark)
+    own = "only this page of the host says these words and no other page does"
+    rows = [(1, "http://a.org/", f"<div>{own}</div>")] * 5
+    rows += [(i, "http://b.org/", f"<div>{own}</div>") for i in range(2, 6)] + [(2, "http://c.org/", f"<div>{own}</div>")]
+    got = extract.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {(r.page_id, r.url, r.text) for r in got} == {
+        (1, "http://a.org/", own), (2, "http://c.org/", own), *((i, "http://b.org/", "") for i in range(2, 6))
+    }
+    assert len(got) == len(rows)
+
+
 def test_roles():
     page = (
         "<body><header>h</header><main><header><h1>Head</h1></header><p>One<div class='related links'>r</div><p>Two<br>three"

@@ -286,3 +286,14 @@ def test_two_stage_training(spark, tmp_path):
     scored = score_customers(orders, CUTOFF, trained.artifact)
     assert scored.count() == 744
     assert {r[0] for r in scored.select("customer_segment").distinct().collect()} <= {"Non-returner", "Low", "Mid", "High"}
+
+
+def test_additivity_makes_the_base_table_once(spark, monkeypatch):
+    from tidemark.plans import facts, queries
+
+    read, base = [], queries.base_rows
+    monkeypatch.setattr(queries, "base_rows", lambda *where: read.append(where) or base(*where))
+    monkeypatch.setattr(facts, "Settings", lambda: Settings(scout_trees=2))
+    found = facts.shapley_additivity(spark, "/root/testdata/sf0.001").first()
+    assert found["rows"] > 0 and found["violations"] == 0
+    assert len(read) == 1

@@ -85,8 +85,9 @@ def customer_segments(spark: SparkSession, folder: str) -> DataFrame:
 
 def shapley_additivity(spark: SparkSession, folder: str) -> DataFrame:
     """Training customers, and those whose Shapley values do not add up to margin minus expectation, for a full scout."""
-    found = targets.customer_targets(queries.base_rows(spark, folder), CUTOFF)
-    matrix = features.feature_matrix(queries.base_rows(spark, folder), CUTOFF)
+    known = durable(queries.base_rows(spark, folder))
+    found = targets.customer_targets(known, CUTOFF)
+    matrix = features.feature_matrix(known, CUTOFF)
     rows = durable(modeling.aligned(found.join(matrix, CUSTOMER), FEATURES, ["will_return"]))
     encoded = Pipeline(stages=modeling.encoder_stages(rows, FEATURES, "scout")).fit(rows).transform(rows)
     settings = Settings()

@@ -1,4 +1,5 @@
 import random
+import threading
 from itertools import combinations
 from math import factorial
 
@@ -83,6 +84,22 @@ def test_tuning_skips_folds_without_positives(spark):
     assert best.trees == chosen[0]["trees"]
 
 
+def test_folds_are_encoded_side_by_side_and_leave_their_lineage(spark, rows, monkeypatch):
+    together, encode, learned = threading.Barrier(3, timeout=60), modeling._encoded_fold, []
+
+    def met(*args):
+        together.wait()  # broken if a fold waits for another
+        learned.append(encode(*args))
+        return learned[-1]
+
+    monkeypatch.setattr(modeling, "_encoded_fold", met)
+    space = SearchSpace(trees=(1, 2), depth=(3, 3))
+    modeling.tune_model(rows, ["a", "b"], "tier", "multi", trials=1, folds=3, order_by=["id"], space=space)
+    assert len(learned) == 3
+    for fitted, _ in learned:
+        assert "LogicalRDD" in fitted._jdf.queryExecution().analyzed().toString()  # not the plan that made the rows
+
+
 def test_tuning_without_usable_fold_is_an_error(spark):
     df = spark.range(12).select("id", F.lit(1.0).alias("x"), F.lit(0).alias("label"))
     with pytest.raises(ValueError, match="both classes"):
@@ -288,6 +305,25 @@ def test_two_stage_training(spark, tmp_path):
     assert {r[0] for r in scored.select("customer_segment").distinct().collect()} <= {"Non-returner", "Low", "Mid", "High"}
 
 
+def test_scoring_reads_the_base_table_of_the_training(spark, monkeypatch):
+    from tidemark.plans import facts, queries
+
+    read, base = [], queries.base_rows
+    space = SearchSpace(trees=(2, 2), depth=(3, 3))
+    monkeypatch.setattr(queries, "SEARCH", Settings(trials=1, stage1_folds=2, stage2_folds=2, scout_trees=2, space=space))
+    monkeypatch.setattr(queries, "_TRAINED", {})
+    monkeypatch.setattr(queries, "base_rows", lambda *where: read.append(where) or base(*where))
+    found = facts.scored_from_nodes(spark, "/root/testdata/sf0.001").collect()
+    assert all(r["responses"] > 0 and r["different"] == 0 for r in found)
+    assert len(read) == 1
+
+
+def test_rows_are_spread_for_heavy_steps(spark):
+    few = spark.range(100).coalesce(1)
+    assert modeling.spread(few).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert sorted(modeling.spread(few).collect()) == sorted(few.collect())
+
+
 def test_additivity_makes_the_base_table_once(spark, monkeypatch):
     from tidemark.plans import facts, queries
 

@@ -202,6 +202,24 @@ def test_runs_equal_a_plain_suffix_array_of_each_host(spark, seed):
     assert dropped > 0
 
 
+@pytest.mark.parametrize("range_pages", [2_000, 2])
+def test_pages_that_name_a_main_part_are_in_the_suffix_array_of_their_host(spark, monkeypatch, range_pages):
+    ship(spark)
+    monkeypatch.setattr(extract, "RANGE_PAGES", range_pages)
+    menu = "home news about contact imprint terms privacy help search login"
+    rows = [(i, f"http://h.org/{i}", f"<div>{menu}</div><article><p>Text {i}</p><p>{menu}</p></article>") for i in range(3)]
+    rows += [(8, "http://h.org/8", f"<div>{menu}</div><p>Only here</p>"), (9, "http://o.org/9", f"<div>{menu}</div><p>Only here</p>")]
+    table = spark.createDataFrame([*rows, rows[3], (None, *rows[3][1:])], "page_id long, url string, html string")
+    got = sorted((str(r.page_id), r.text) for r in extract.extract_pages(table).collect())
+    whole = f"{menu}\nOnly here"
+    assert got == [*((str(i), f"Text {i}\n{menu}") for i in range(3)), ("8", "Only here"), ("8", "Only here"), ("9", whole), ("None", whole)]
+
+
+def test_packed_runs_come_back_in_order():
+    keys = np.array([5, 2**40 - 1, 0, 5, 77])
+    assert extract.unpacked_runs(extract.packed_runs(keys)).tolist() == [0, 5, 77, 2**40 - 1]
+
+
 def test_repeated_rows_and_ids_on_two_hosts_are_no_boilerplate(spark):
     ship(spark)
     own = "only this page of the host says these words and no other page does"

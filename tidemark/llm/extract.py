@@ -1,10 +1,10 @@
-"""Main text of web pages: element roles, and a suffix array of each host's token streams for what roles leave open."""
+"""Main text of web pages: a suffix array of each host's token streams, and element roles."""
 
 from __future__ import annotations
 
 import html
 import re
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 
 import numpy as np
 import pandas as pd
@@ -41,6 +41,11 @@ _TAG_STOP = re.compile(r"[>\"']")
 _ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 _NO_DISPLAY = re.compile(r"display\s*:\s*none", re.I)
 _SPACE = re.compile(r"\s+")
+# Bytes that tell runs of a host apart, and pages whose suffixes are put in order together
+RUN_BYTES = 5
+RANGE_PAGES = 2_000
+# Stands for a host's number of pages among its runs, which are never negative
+PAGES = -1
 
 
 def attributes(tag: str) -> dict[str, str]:
@@ -194,63 +199,102 @@ def blocks(page: str) -> list[tuple[bool, str]]:
     return found
 
 
-def undecided(page: str) -> list[str]:
-    """Blocks whose role the markup leaves open: all, if the page names no main part; else none."""
-    found = blocks(page)
-    return [] if any(main for main, _ in found) else [text for _, text in found]
-
-
 def suffixes(texts: list[str], length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of the first ``length`` tokens of every suffix of the token stream, and the block each suffix starts in."""
+    """Number of the first ``length`` tokens of every suffix of the token stream, and the block each suffix starts in.
+
+    The number is a hash of ``RUN_BYTES``. Runs are told apart within a host only, and only hosts of at most 30 pages ask
+    for as few as three: 40 bits confuse two of their runs with a chance of about 1e-8.
+    """
     words = [text.split() for text in texts]
     of = np.repeat(np.arange(len(texts)), [len(w) for w in words])
     tokens = pd.util.hash_array(np.array([w for block in words for w in block], dtype=object), categorize=True)
     keys = np.zeros(max(0, len(tokens) - length + 1), np.uint64)
     for i in range(length):
         keys = mixed(keys + tokens[i : i + len(keys)] + np.uint64(i))
-    return keys.view(np.int64), of
+    return (keys >> np.uint64(64 - 8 * RUN_BYTES)).view(np.int64), of
 
 
 def host_of(url_column: str):
     return F.lower(F.coalesce(F.regexp_extract(F.col(url_column), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1), F.lit("")))
 
 
+def packed_runs(keys: np.ndarray) -> bytes:
+    """Distinct run numbers in order, as differences, the bytes of equal weight next to each other: they compress well."""
+    steps = np.diff(np.unique(keys), prepend=0).astype("<i8")
+    return steps.view(np.uint8).reshape(-1, 8)[:, :RUN_BYTES].T.tobytes()
+
+
+def unpacked_runs(packed: bytes) -> np.ndarray:
+    """The run numbers of ``packed_runs``, in order."""
+    planes = np.frombuffer(packed, np.uint8).reshape(RUN_BYTES, -1)
+    steps = np.zeros((planes.shape[1], 8), np.uint8)
+    steps[:, :RUN_BYTES] = planes.T
+    return np.cumsum(steps.view("<i8")[:, 0])
+
+
 def repeated_runs(pages: DataFrame, length: int, least_pages: int, least_share: float) -> DataFrame:
-    """page_id, host and the hashes of those of its suffix prefixes that many pages of its host begin with too.
+    """host and the numbers of the runs of ``length`` tokens that many pages of the host hold, from all its pages.
 
-    This is the part of a host's suffix array that matters for runs of ``length`` tokens: suffixes of all its pages
-    are brought into order by their first ``length`` tokens, across the cluster and without holding a host in one task;
-    suffixes that share them stand together, and their group gives the number of distinct pages. A run longer than
-    ``length`` is the union of such groups. Each page counts once per run, however many rows it has.
+    This is the part of a host's suffix array that matters for such runs: suffixes of all its pages, whatever their
+    markup names, are brought into order by their first ``length`` tokens; suffixes that share them stand together, and
+    their group gives the number of distinct pages. A run longer than ``length`` is the union of such groups. Each page
+    counts once per run, however many rows it has. A page sends its suffixes in order, packed into a row, and a host of very
+    many pages is put in order in several ranges, so no task holds a host.
     """
 
     def streams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            out: dict[str, list] = {"page_id": [], "host": [], "run": []}
-            for page_id, host, page in zip(batch["page_id"], batch["host"], batch["html"], strict=True):
-                keys = np.unique(suffixes(undecided(page), length)[0])
-                out["page_id"].append(np.full(len(keys), page_id))
-                out["host"].extend([host] * len(keys))
-                out["run"].append(keys)
-            if out["host"]:
-                yield pd.DataFrame({"page_id": np.concatenate(out["page_id"]), "host": out["host"], "run": np.concatenate(out["run"])})
-
-    asked = pages.select("page_id", host_of("url").alias("host"), F.coalesce("html", F.lit("")).alias("html"))
-    asked = asked.filter(F.col("page_id").isNotNull())
-    runs = durable(asked.mapInPandas(streams, "page_id long, host string, run long"))
-    open_pages = runs.select("host", "page_id").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("_pages"))
-    counted = runs.groupBy("host", "run").agg(F.count_distinct("page_id").alias("_n")).filter(F.col("_n") >= least_pages)
-    shared = durable(counted.join(open_pages, "host").filter(F.col("_n") >= F.col("_pages") * least_share).select("host", "run"))
-    return runs.join(shared, ["host", "run"]).groupBy("page_id", "host").agg(F.collect_set("run").alias("_runs"))
-
-
-def main_text(page: str, runs: set[int], length: int, covered: float) -> str:
+            out: list[tuple] = []
+            for page_id, host, page, ranges in zip(batch["page_id"], batch["host"], batch["html"], batch["_ranges"], strict=True):
+                keys = suffixes([text for _, text in blocks(page)], length)[0]
+                if not len(keys):
+                    continue
+                home, part = page_id % ranges, keys % ranges  # the page itself is counted where its id belongs
+                for i in np.union1d(np.unique(part), [home]):
+                    out.append((page_id, host, i, packed_runs(keys[part == i]), i == home))
+            if out:
+                yield pd.DataFrame(out, columns=["page_id", "host", "part", "runs", "home"])
+
+    def order(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found: dict[str, list] = {"host": [], "run": [np.zeros(0, np.int64)], "_n": [np.zeros(0, np.int64)]}
+            for host, ids, packed, homes in zip(*(batch[c] for c in ("host", "ids", "packed", "homes")), strict=True):
+                by_page: dict[int, list[np.ndarray]] = {}
+                for page_id, one in zip(ids, packed, strict=True):
+                    by_page.setdefault(page_id, []).append(unpacked_runs(one))
+                ordered = np.concatenate([p[0] if len(p) == 1 else np.unique(np.concatenate(p)) for p in by_page.values()])
+                runs, counts = np.unique(ordered, return_counts=True)
+                shared = counts >= least_pages
+                found["host"].extend([host] * (1 + int(shared.sum())))
+                found["run"] += [[PAGES], runs[shared]]
+                found["_n"] += [[len(set(homes))], counts[shared]]
+            if found["host"]:
+                yield pd.DataFrame({"host": found["host"], "run": np.concatenate(found["run"]), "_n": np.concatenate(found["_n"])})
+
+    asked = pages.filter(F.col("page_id").isNotNull()).select("page_id", host_of("url").alias("host"), F.coalesce("html", F.lit("")).alias("html"))
+    # At most a row for each RANGE_PAGES pages of the table
+    large = asked.groupBy("host").agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > RANGE_PAGES)
+    ranges = F.coalesce(F.ceil(F.col("_rows") / RANGE_PAGES), F.lit(1)).cast("long").alias("_ranges")
+    ready = asked.join(F.broadcast(large), "host", "left").select("page_id", "host", "html", ranges)
+    sent = ready.mapInPandas(streams, "page_id long, host string, part long, runs binary, home boolean")
+    together = sent.groupBy("host", "part").agg(
+        F.collect_list("page_id").alias("ids"),
+        F.collect_list("runs").alias("packed"),
+        F.collect_list(F.when(F.col("home"), F.col("page_id"))).alias("homes"),
+    )
+    counted = durable(together.mapInPandas(order, "host string, run long, _n long"))
+    sizes = counted.filter(F.col("run") == PAGES).groupBy("host").agg(F.sum("_n").alias("_pages"))
+    shared = counted.filter(F.col("run") != PAGES).join(sizes, "host").filter(F.col("_n") >= F.col("_pages") * least_share)
+    return shared.groupBy("host").agg(F.collect_list("run").alias("_runs"))
+
+
+def main_text(page: str, runs: Collection[int], length: int, covered: float) -> str:
     """The page's main text: its main element, or else the blocks that repeated runs do not cover."""
     found = blocks(page)
     chosen = [text for main, text in found if main]
     if not chosen:
         chosen = [text for _, text in found]
-        if runs and chosen:
+        if len(runs) and chosen:
             keys, of = suffixes(chosen, length)
             hit = np.zeros(len(of) + 1, int)
             for at in np.flatnonzero(np.isin(keys, list(runs))):
@@ -267,22 +311,23 @@ def extract_pages(
 ) -> DataFrame:
     """page_id, url, text, n_chars of every page.
 
-    Roles of elements decide first (``blocks``). On pages that name no main part the host's suffix array decides: a
-    block of which at least ``covered`` of the tokens lie in runs of ``length`` or more tokens, each found on at least
-    ``least_pages`` and ``least_share`` of the host's open pages, is boilerplate. Unique runs stay.
+    The suffix array of a host is built of all its pages. A block of which at least ``covered`` of the tokens lie in runs of
+    ``length`` or more tokens, each found on at least ``least_pages`` and ``least_share`` of the host's pages, is boilerplate
+    unless it lies in the element that the page names as its main part (``blocks``): articles quote each other. On pages that
+    name one, nothing else is text. Unique runs stay.
 
     A null html is an empty page with the empty text; null ids and urls stay null; repeated rows are extracted each;
     pages are read whole, whatever their length. An empty table gives an empty result.
     """
-    runs = repeated_runs(pages, length, least_pages, least_share)
-    wide = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"), host_of("url").alias("host"))
-    ready = wide.join(durable(runs), ["page_id", "host"], "left").withColumn("_id", F.col("page_id").cast("string")).drop("page_id")
+    runs = durable(repeated_runs(pages, length, least_pages, least_share))
+    wide = pages.select(F.col("page_id").cast("string").alias("_id"), "url", F.coalesce("html", F.lit("")).alias("html"), host_of("url").alias("host"))
+    ready = wide.join(runs, (wide["host"] == runs["host"]) & wide["_id"].isNotNull(), "left").select("_id", "url", "html", "_runs")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            known = [set() if r is None else {int(x) for x in r} for r in batch["_runs"]]
+            known = [() if r is None else r for r in batch["_runs"]]
             text = [main_text(page, r, length, covered) for page, r in zip(batch["html"], known, strict=True)]
             yield pd.DataFrame({"_id": batch["_id"], "url": batch["url"], "text": text})
 
-    done = ready.select("_id", "url", "html", "_runs").mapInPandas(run, "_id string, url string, text string")
+    done = ready.mapInPandas(run, "_id string, url string, text string")
     return done.select(F.col("_id").cast("long").alias("page_id"), "url", "text", F.char_length("text").cast("long").alias("n_chars"))

@@ -333,3 +333,13 @@ def test_additivity_makes_the_base_table_once(spark, monkeypatch):
     found = facts.shapley_additivity(spark, "/root/testdata/sf0.001").first()
     assert found["rows"] > 0 and found["violations"] == 0
     assert len(read) == 1
+
+
+@pytest.mark.parametrize("rows, most, tasks", [(50, 1_000, 1), (1_000_000, 1_000_000, "cores"), (1_000, 10, 100), (0, 1_000, 1)])
+def test_fits_have_a_task_a_core_before_they_have_more(spark, monkeypatch, rows, most, tasks):
+    monkeypatch.setattr(modeling, "ROWS_PER_TASK", min(most, 50))
+    monkeypatch.setattr(modeling, "MOST_ROWS_PER_TASK", most)
+    many = spark.range(0, rows, 1, 200)
+    cores = spark.sparkContext.defaultParallelism
+    assert modeling.sized(many).rdd.getNumPartitions() == (cores if tasks == "cores" else tasks)
+    assert modeling.sized(many).count() == rows
